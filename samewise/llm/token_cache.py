@@ -11,7 +11,9 @@ from __future__ import annotations
 import re
 from array import array
 
-_ODD_SPACES = re.compile(r" \s|\s |^ | $")
+_ODD_SPACES = re.compile(r" \s|\s ")
+#: White space other than the space and the line feed, which are searched for first.
+_RARE_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _BATCH = 4096
 _loaded: dict[str, ChunkEncoder] = {}
 
@@ -19,7 +21,7 @@ _loaded: dict[str, ChunkEncoder] = {}
 class ChunkEncoder:
     """Texts to ids as little-endian unsigned 32-bit bytes; ``limit`` bounds what is remembered."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -28,6 +30,7 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.limit, self.heads, self.rest = limit, {}, {}
+        self.marks = dict(zip(",.", self._encode([",", "."]), strict=True))
 
     def _encode(self, texts: list[str]):
         for i in range(0, len(texts), _BATCH):
@@ -39,29 +42,51 @@ class ChunkEncoder:
             self.rest = {}
         if len(self.heads) > self.limit // 8:
             self.heads = {}
-        heads, rest = self.heads, self.rest
-        whole = [i for i, t in enumerate(texts) if _ODD_SPACES.search(t)]
-        skip, chunks = set(whole), []
-        new_heads, new_rest = {}, {}
+        heads, rest, out = self.heads, self.rest, [b""] * len(texts)
+        whole, split, new_heads, new_rest = [], [], set(), set()
         for i, t in enumerate(texts):
-            if i in skip:
-                chunks.append(None)
+            if has_odd_spaces(t):
+                whole.append(i)
                 continue
-            head, *more = t.split(" ")
+            chunks = t.split(" ")
+            head = chunks[0]
             if head not in heads:
-                new_heads[head] = None
-            for c in more:
-                if c not in rest:
-                    new_rest[c] = None
-            chunks.append((head, more))
+                new_heads.add(head)
+            chunks[0] = "a"
+            coded = list(map(rest.get, chunks))
+            gaps = ()
+            if not all(coded):
+                gaps = [k for k, v in enumerate(coded) if not v]
+                for k in gaps:
+                    word, _ = self._parts(chunks[k])
+                    if word not in rest:
+                        new_rest.add(word)
+                chunks = [chunks[k] for k in gaps]
+            split.append((i, head, coded, gaps, chunks))
         heads.update(zip(new_heads, self._encode(list(new_heads)), strict=True))
         rest.update(zip(new_rest, self._encode([" " + c for c in new_rest]), strict=True))
-        get = rest.__getitem__
-        out = [b"" if c is None else heads[c[0]] + b"".join(map(get, c[1])) for c in chunks]
+        for i, head, coded, gaps, chunks in split:
+            for k, c in zip(gaps, chunks, strict=False):
+                word, mark = self._parts(c)
+                coded[k] = rest[word] + mark
+            coded[0] = heads[head]
+            out[i] = b"".join(coded)
         for i in whole:
             out[i] = next(self._encode([texts[i]]))
         return out
 
+    def _parts(self, chunk: str) -> tuple[str, bytes]:
+        """A comma or full stop after letters only is a pre-token of its own, so the word before it stands for the chunk."""
+        mark = self.marks.get(chunk[-1:])
+        return (chunk[:-1], mark) if mark and chunk[:-1].isalpha() else (chunk, b"")
+
+
+def has_odd_spaces(t: str) -> bool:
+    """Whether a space is at an end of the text or next to other white space."""
+    if "  " in t or " \n" in t or "\n " in t or t[:1] == " " or t[-1:] == " ":
+        return True
+    return any(c in t for c in _RARE_SPACES) and _ODD_SPACES.search(t) is not None
+
 
 def encoder(path: str) -> ChunkEncoder:
     """One encoder for each file and Python worker."""
