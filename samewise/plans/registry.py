@@ -1,4 +1,451 @@
-"""Registered queries and their SQL."""
+"""Registered queries over the given tables, and the same in SQL."""
 
-QUERIES = {}
-ORACLE_SQL = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from samewise.functions import similarity as sim
+from samewise.functions import text as tx
+from samewise.operators import blocking, errors, features, metrics, profiling, submission, tfidf, training
+from samewise.sources import tables
+
+S1, CAND = "source1_entity_id", "candidate_entity_id"
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+# SQL pieces, each a common table expression.
+_ASCII = "regexp_replace(lower(trim({})), '[^a-z0-9]+', ' ', 'g')"
+_TOKENS = "list_distinct(list_filter(string_split({}, ' '), lambda w: w <> ''))"
+CTE = {
+    "r": """SELECT 'S' || (1 + doc_id % 3) || '-' || doc_id AS entity_id, array_to_string(w[1:4], ' ') AS business_name,
+              array_to_string(w[5:14], ' ') AS business_address, lang AS country, array_to_string(w[15:40], ' ') AS truth_key
+            FROM (SELECT doc_id, lang, list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\r\\x0b\\f]+'), lambda x: x <> '') AS w FROM documents)""",
+    "n0": """SELECT *, translate(regexp_replace(lower(business_name), '[\\x{200B}-\\x{200F}\\x{FEFF}]', '', 'g'), '‘’ʼ`´“”"', '''''''''''   ') AS n,
+              translate(regexp_replace(lower(business_address), '[\\x{200B}-\\x{200F}\\x{FEFF}]', '', 'g'), '‘’ʼ`´“”"', '''''''''''   ') AS a FROM r""",
+    "n1": """SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(n, '[^\\p{L}\\p{M}\\p{N}''&+]', ' ', 'g'), '''{2,}', ' ', 'g'),
+                '(^|[^\\p{L}\\p{N}])''', '\\1 ', 'g'), '''([^\\p{L}\\p{N}]|$)', ' \\1', 'g') AS n1,
+              regexp_replace(regexp_replace(regexp_replace(regexp_replace(a, '[<>()\\[\\]{}#~*_!?;]', ' ', 'g'), '\\.{2,}', ' ', 'g'), '-{2,}', ' ', 'g'), ',{2,}', ',', 'g') AS a1 FROM n0""",
+    "n2": """SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(n1, '(\\s)[&+](\\s)', '\\1 \\2', 'g'), '(\\s)[&+](\\s)', '\\1 \\2', 'g'), '\\s+', ' ', 'g')) AS name,
+              regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(a1, '\\.(\\s|,|$)', '\\1', 'g'), '\\s+-\\s+', ' ', 'g'), '(\\s)-([0-9])', '\\1\\2', 'g'),
+                '(\\s)[-/](\\s)', '\\1 \\2', 'g'), '(\\s)[-/](\\s)', '\\1 \\2', 'g') AS a2 FROM n1""",
+    "n3": """SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(a2, '''{2,}', ' ', 'g'), '(^|[^\\p{L}\\p{N}])''', '\\1 ', 'g'),
+                '''([^\\p{L}\\p{N}]|$)', ' \\1', 'g'), '\\s*,\\s*', ', ', 'g'), '^[,\\s]+|[,\\s]+$', '', 'g'), '\\s+', ' ', 'g')) AS addr FROM n2""",
+    "keys": """SELECT entity_id, 'name:' || name AS key FROM n2 WHERE name <> '' UNION ALL
+              SELECT entity_id, 'address:' || k FROM (SELECT entity_id, regexp_replace(lower(business_address), '[^a-z0-9]+', '', 'g') AS k FROM r) WHERE k <> ''""",
+    "cand": f"""SELECT DISTINCT x.entity_id AS {S1}, y.entity_id AS {CAND} FROM keys x JOIN keys y USING (key)
+              WHERE x.entity_id LIKE 'S1%' AND y.entity_id NOT LIKE 'S1%'""",
+    "truth": f"""SELECT x.entity_id AS {S1}, y.entity_id AS {CAND} FROM r x JOIN r y USING (truth_key)
+              WHERE truth_key <> '' AND x.entity_id LIKE 'S1%' AND y.entity_id NOT LIKE 'S1%'""",
+    "u": f"SELECT entity_id AS {S1} FROM r WHERE entity_id LIKE 'S1%'",
+    "f": f"""SELECT *, trim({_ASCII.format('business_name')}) AS nn, trim({_ASCII.format('business_address')}) AS an,
+              trim(regexp_replace(trim({_ASCII.format('business_name')}), '\\b(inc|llc|ltd|company|corporation|corp)\\b', '', 'g')) AS core FROM r""",
+    "p": f"SELECT c.*, a.nn AS a, b.nn AS b, a.core AS ca, b.core AS cb, a.business_name AS ra, b.business_name AS rb, a.an AS x, b.an AS y, a.country AS c1, b.country AS c2 FROM cand c JOIN f a ON a.entity_id = {S1} JOIN f b ON b.entity_id = {CAND}",
+    "scored": f"""SELECT {S1}, {CAND}, CASE WHEN a = '' OR b = '' THEN 0.0 ELSE len(list_intersect(ta, tb)) / len(list_distinct(list_concat(ta, tb)))::DOUBLE END AS score
+              FROM (SELECT *, {_TOKENS.format('x')} AS ta, {_TOKENS.format('y')} AS tb FROM p)""".replace("a = '' OR b = ''", "len(ta) = 0 OR len(tb) = 0"),
+    "pred": f"SELECT {S1}, {CAND} FROM scored WHERE score >= 0.5",
+    "e0": f"""SELECT u.{S1}, count(t.{CAND}) FILTER (p.{CAND} IS NOT NULL) AS tp, count(p.{CAND}) FILTER (t.{CAND} IS NULL) AS fp, count(t.{CAND}) FILTER (p.{CAND} IS NULL) AS fn
+              FROM u LEFT JOIN (SELECT {S1}, {CAND} FROM truth UNION SELECT * FROM pred) b ON b.{S1} = u.{S1}
+              LEFT JOIN truth t ON t.{S1} = b.{S1} AND t.{CAND} = b.{CAND} LEFT JOIN pred p ON p.{S1} = b.{S1} AND p.{CAND} = b.{CAND} GROUP BY 1""",
+    "e": """SELECT *, CASE WHEN 0.25 * precision + recall > 0 THEN 1.25 * precision * recall / (0.25 * precision + recall) ELSE 0.0 END AS f0_5 FROM
+              (SELECT *, CASE WHEN tp + fp + fn = 0 THEN 1.0::DOUBLE WHEN tp + fp > 0 THEN tp / (tp + fp)::DOUBLE ELSE 0.0::DOUBLE END AS precision,
+                CASE WHEN tp + fp + fn = 0 THEN 1.0::DOUBLE WHEN tp + fn > 0 THEN tp / (tp + fn)::DOUBLE ELSE 0.0::DOUBLE END AS recall FROM e0)""",
+    "lab": f"SELECT c.*, (t.{CAND} IS NOT NULL)::INT AS label FROM scored c LEFT JOIN truth t USING ({S1}, {CAND})",
+    "sw0": f"""SELECT g / 100.0::DOUBLE AS threshold, {S1}, count(*) FILTER (score >= g / 100.0::DOUBLE AND tr) AS tp, count(*) FILTER (score >= g / 100.0::DOUBLE AND NOT tr) AS fp, count(*) FILTER (tr) AS n_true FROM
+              (SELECT coalesce(s.{S1}, t.{S1}) AS {S1}, s.score, t.{S1} IS NOT NULL AS tr FROM scored s FULL JOIN truth t USING ({S1}, {CAND})), range(10, 91, 5) q(g)
+              WHERE {S1} IN (SELECT {S1} FROM scored) GROUP BY ALL""",
+    "sw": """SELECT threshold, avg(CASE WHEN tp + fp = 0 AND n_true = 0 THEN 1.0 WHEN tp = 0 THEN 0.0 ELSE 1.25 * (tp / (tp + fp)::DOUBLE) * (tp / n_true::DOUBLE) / (0.25 * (tp / (tp + fp)::DOUBLE) + tp / n_true::DOUBLE) END) AS m,
+              sum(tp + fp)::BIGINT AS predicted_match_count, sum(fp)::BIGINT AS false_positive_count, sum(n_true - tp)::BIGINT AS false_negative_count FROM sw0 GROUP BY 1""",
+    "grams": """SELECT id, substr(w, i::INT, n::INT) AS term, count(*) AS tf FROM (SELECT entity_id AS id, ' ' || unnest(list_filter(string_split(nn, ' '), lambda x: x <> '')) || ' ' AS w FROM f
+                WHERE entity_id IN (SELECT unnest([{0}, {1}]) FROM cand)), range(3, 6) s(n), range(1, 100000) t(i) WHERE i + n - 1 <= length(w) GROUP BY 1, 2""".replace("{0}", S1).replace("{1}", CAND),
+    "vocab": f"""SELECT term, sum(tf)::BIGINT AS total, count(*) AS df, ln((1.0 + (SELECT count(*) FROM f WHERE entity_id IN (SELECT unnest([{S1}, {CAND}]) FROM cand))) / (1 + count(*))) + 1 AS idf
+              FROM grams GROUP BY 1 ORDER BY total DESC, term LIMIT 10000""",
+    "wt": "SELECT id, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY id)) AS w FROM grams JOIN vocab USING (term)",
+    "grp": f"SELECT {S1}, row_number() OVER (ORDER BY md5('42:' || {S1}), {S1}) AS k, count(*) OVER () AS n FROM (SELECT DISTINCT {S1} FROM cand)",
+}
+_USES = {
+    "r": (), "n0": ("r",), "n1": ("n0",), "n2": ("n1",), "n3": ("n2",), "keys": ("n2", "r"), "cand": ("keys",), "truth": ("r",), "u": ("r",), "f": ("r",), "p": ("cand", "f"), "scored": ("p",), "pred": ("scored",),
+    "e0": ("u", "truth", "pred"), "e": ("e0",), "lab": ("scored", "truth"), "sw0": ("scored", "truth"), "sw": ("sw0",), "grams": ("f", "cand"), "vocab": ("grams",), "wt": ("grams", "vocab"), "grp": ("cand",),
+}
+
+
+def _sql(body: str, *needs: str) -> str:
+    """``body`` after the common table expressions it needs, in order."""
+    seen: list[str] = []
+
+    def add(name: str) -> None:
+        for x in _USES[name]:
+            add(x)
+        if name not in seen:
+            seen.append(name)
+
+    for x in needs:
+        add(x)
+    return ("WITH " + ",\n".join(f"{x} AS ({CTE[x]})" for x in seen) + "\n" if seen else "") + body
+
+
+class _Data:
+    """The linkage inputs of one folder."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.r = tables.records(spark, sf_dir)
+        self.s1, self.others = tables.of_source(self.r, 1), tables.of_source(self.r, 2, 3)
+        self.truth = tables.true_pairs(self.r)
+        self.universe = self.s1.select(F.col("entity_id").alias(S1))
+
+    @property
+    def cand(self) -> DataFrame:
+        return blocking.candidate_pairs(self.s1, self.others)
+
+    @property
+    def enriched(self) -> DataFrame:
+        return features.enriched(self.cand, self.s1, self.others)
+
+    @property
+    def scored(self) -> DataFrame:
+        """Candidates scored by the Jaccard of their address tokens."""
+        return self.enriched.select(S1, CAND, sim.token_jaccard(F.col("a_addr_n"), F.col("b_addr_n")).alias("score"))
+
+    @property
+    def predicted(self) -> DataFrame:
+        return self.scored.filter("score >= 0.5").select(S1, CAND)
+
+    @property
+    def labelled(self) -> DataFrame:
+        t = self.truth.withColumn("t", F.lit(1))
+        return self.scored.join(t, [S1, CAND], "left").withColumn("label", F.col("t").isNotNull().cast("int")).drop("t")
+
+    @property
+    def entities(self) -> DataFrame:
+        return metrics.entity_metrics(self.universe, self.truth, self.predicted)
+
+
+def _query(sql: str | None = None, *needs: str):
+    def register(f):
+        name = f.__name__.rstrip("_")
+        QUERIES[name] = lambda spark, sf_dir: f(_Data(spark, sf_dir))
+        if sql:
+            ORACLE_SQL[name] = _sql(sql, *needs)
+        return f
+
+    return register
+
+
+def _r6(df: DataFrame) -> DataFrame:
+    """Doubles rounded to six digits, counts as longs."""
+    cast = {"double": lambda c: F.round(c, 6), "int": lambda c: F.col(c).cast("long")}
+    return df.select(*(cast[t](c).alias(c) if t in cast else F.col(c) for c, t in df.dtypes))
+
+
+@_query("SELECT entity_id, name FROM n2", "n2")
+def normalize_name(d):
+    return d.r.select("entity_id", tx.normalize_name(F.col("business_name")).alias("name"))
+
+
+@_query("SELECT entity_id, addr FROM n3", "n3")
+def normalize_address(d):
+    return d.r.select("entity_id", tx.normalize_address(F.col("business_address")).alias("addr"))
+
+
+@_query()
+def postal_code(d):
+    return d.r.select("entity_id", tx.postal_code(F.col("business_address")).alias("code"))
+
+
+@_query("SELECT entity_id, nn AS name_n, an AS addr_n FROM f", "f")
+def normalize_feature_text(d):
+    return d.r.select("entity_id", tx.feature_text(F.col("business_name")).alias("name_n"), tx.feature_text(F.col("business_address")).alias("addr_n"))
+
+
+@_query("SELECT entity_id, core FROM f", "f")
+def core_name(d):
+    return d.r.select("entity_id", tx.core_name(tx.feature_text(F.col("business_name"))).alias("core"))
+
+
+ORACLE_SQL["last_pin"] = ("SELECT doc_id, list_extract(regexp_extract_all(coalesce(text, ''), '(?:^|[^\\p{L}\\p{N}_])([0-9]{5,6})\\b', 1), -1) AS pin FROM documents")
+QUERIES["last_pin"] = lambda spark, sf_dir: spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", tx.last_pin(F.col("text")).alias("pin"))
+
+
+@_query("SELECT entity_id, key FROM keys", "keys")
+def blocking_keys(d):
+    return blocking.blocking_keys(d.r)
+
+
+@_query("SELECT * FROM cand", "cand")
+def candidate_pairs(d):
+    return d.cand
+
+
+@_query(f"SELECT {S1}, string_agg({CAND}, ',' ORDER BY {CAND}) AS candidate_entity_ids FROM cand GROUP BY 1", "cand")
+def candidate_lists(d):
+    return blocking.candidate_lists(d.cand)
+
+
+@_query(f"SELECT count(*) AS true_pairs, count(c.{CAND}) AS found_pairs, round(count(c.{CAND}) / count(*)::DOUBLE, 6) AS recall FROM truth LEFT JOIN cand c USING ({S1}, {CAND})", "truth", "cand")
+def candidate_recall(d):
+    return _r6(metrics.recall_ceiling(d.cand, d.truth))
+
+
+@_query(f"SELECT {S1}, {CAND}, label::BIGINT AS label FROM lab", "lab")
+def label_pairs(d):
+    return _r6(training.label_pairs(d.cand, d.universe, d.truth))
+
+
+_IDS = f"{S1}, {CAND}, "
+
+
+@_query(f"SELECT {_IDS}round(CASE WHEN greatest(length(a), length(b)) = 0 THEN 1.0 ELSE 1 - levenshtein(a, b) / greatest(length(a), length(b))::DOUBLE END, 6) AS similarity FROM p", "p")
+def lev_similarity(d):
+    return _r6(d.enriched.select(S1, CAND, sim.levenshtein_similarity(F.col("a_name_n"), F.col("b_name_n")).alias("similarity")))
+
+
+@_query(f"SELECT {_IDS}round(jaro_winkler_similarity(a, b), 6) AS similarity FROM p WHERE a <> '' AND b <> ''", "p")
+def jaro_winkler(d):
+    return _r6(d.enriched.filter("a_name_n <> '' and b_name_n <> ''").select(S1, CAND, sim.jaro_winkler(F.col("a_name_n"), F.col("b_name_n")).alias("similarity")))
+
+
+@_query(f"SELECT {_IDS}round(score, 6) AS similarity FROM scored", "scored")
+def token_jaccard(d):
+    return _r6(d.scored.withColumnRenamed("score", "similarity"))
+
+
+@_query(f"SELECT {_IDS}abs(length(trim(ra)) - length(trim(rb)))::DOUBLE AS raw, abs(length(a) - length(b))::DOUBLE AS norm FROM p", "p")
+def length_diffs(d):
+    return d.enriched.select(S1, CAND, sim.length_difference(F.col("a_name"), F.col("b_name")).alias("raw"), sim.length_difference(F.col("a_name_n"), F.col("b_name_n")).alias("norm"))
+
+
+@_query(f"SELECT {_IDS}a = b AS name, ca = cb AND ca <> '' AS core, x = y AS addr FROM p", "p")
+def exact_flags(d):
+    core = tx.core_name(F.col("a_name_n"))
+    return d.enriched.select(S1, CAND, (F.col("a_name_n") == F.col("b_name_n")).alias("name"), ((core == tx.core_name(F.col("b_name_n"))) & (core != "")).alias("core"), (F.col("a_addr_n") == F.col("b_addr_n")).alias("addr"))
+
+
+@_query(f"SELECT {_IDS}trim(ra) = '' AS a_missing, trim(rb) = '' AS b_missing, coalesce(c1, '') = '' AS a_country_missing FROM p", "p")
+def missing_flags(d):
+    return d.enriched.select(S1, CAND, (F.col("a_name") == "").alias("a_missing"), (F.col("b_name") == "").alias("b_missing"), (F.col("a_country") == "").alias("a_country_missing"))
+
+
+@_query(f"SELECT {_IDS}CASE WHEN {CAND} LIKE '%S2%' THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS indicator FROM cand", "cand")
+def source_indicator(d):
+    return d.cand.select(S1, CAND, features.source_indicator(F.col(CAND)).alias("indicator"))
+
+
+@_query(f"SELECT {_IDS}lower(coalesce(c1, '')) = lower(coalesce(c2, '')) AND coalesce(c1, '') <> '' AS same FROM p", "p")
+def country_match(d):
+    a = F.lower("a_country")
+    return d.enriched.select(S1, CAND, ((a == F.lower("b_country")) & (a != "")).alias("same"))
+
+
+def _ratio(kernel):
+    return lambda d: _r6(d.enriched.select(S1, CAND, kernel(F.col("a_name_n"), F.col("b_name_n")).alias("ratio")))
+
+
+for _name, _kernel in (("indel_ratio", sim.indel_ratio), ("token_sort_ratio", sim.token_sort_ratio), ("token_set_ratio", sim.token_set_ratio)):
+    QUERIES[_name] = lambda spark, sf_dir, f=_ratio(_kernel): f(_Data(spark, sf_dir))
+
+
+def _name_texts(d, pairs):
+    ids = pairs.select(F.explode(F.array(S1, CAND)).alias("id")).distinct()
+    texts = d.r.select(F.col("entity_id").alias("id"), tx.feature_text(F.col("business_name")).alias("text"))
+    return texts.join(ids, "id", "left_semi")
+
+
+@_query("SELECT term, total, df, round(idf, 6) AS idf FROM vocab", "vocab")
+def tfidf_vocabulary(d):
+    return _r6(tfidf.vocabulary(_name_texts(d, d.cand)))
+
+
+@_query(f"SELECT {_IDS}round(coalesce(s, 0.0), 6) AS cosine FROM cand LEFT JOIN (SELECT {_IDS}sum(a.w * b.w) AS s FROM cand JOIN wt a ON a.id = {S1} JOIN wt b ON b.id = {CAND} AND a.term = b.term GROUP BY 1, 2) USING ({S1}, {CAND})", "cand", "wt")
+def tfidf_cosine(d):
+    texts = _name_texts(d, d.cand)
+    w = tfidf.weights(texts, tfidf.vocabulary(texts))
+    return _r6(tfidf.cosines(d.cand, w, w))
+
+
+@_query()
+def pair_features(d):
+    pairs = d.cand
+    return features.pair_features(pairs, d.s1, d.others, features.fit_vocabularies(d.s1, d.others, pairs))
+
+
+@_query(f"SELECT {S1}, tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f0_5, 6) AS f0_5 FROM e", "e")
+def entity_metrics(d):
+    return _r6(d.entities)
+
+
+@_query(
+    """SELECT round(avg(f0_5), 6) AS macro_f0_5, round(avg(precision), 6) AS macro_precision, round(avg(recall), 6) AS macro_recall, sum(tp)::BIGINT AS total_tp, sum(fp)::BIGINT AS total_fp,
+         sum(fn)::BIGINT AS total_fn, count(*) AS total_entities, count(*) FILTER (tp + fn = 0) AS singleton_count, count(*) FILTER (tp + fn = 0 AND fp > 0) AS singleton_errors,
+         sum(tp + fp)::BIGINT AS predicted_matches, sum(tp + fn)::BIGINT AS true_matches FROM e""",
+    "e",
+)
+def macro_f05(d):
+    return _r6(metrics.macro_f05(d.entities))
+
+
+@_query("SELECT round(avg(f0_5), 6) AS macro_f05, count(*) AS total_entities, count(*) FILTER (tp + fn = 0) AS singleton_count, round(1 - count(*) FILTER (tp + fn = 0 AND fp > 0) / count(*) FILTER (tp + fn = 0)::DOUBLE, 6) AS singleton_accuracy FROM e", "e")
+def macro_breakdown(d):
+    return _r6(metrics.macro_breakdown(d.entities))
+
+
+_SWEEP = "SELECT threshold, round(m, 6) AS macro_f0_5, predicted_match_count, false_positive_count, false_negative_count FROM sw"
+
+
+@_query(_SWEEP, "sw")
+def threshold_sweep(d):
+    return _r6(metrics.threshold_sweep(d.scored, d.truth))
+
+
+@_query(_SWEEP + " ORDER BY round(m, 9) DESC, threshold DESC LIMIT 1", "sw")
+def best_threshold(d):
+    return _r6(metrics.best_threshold(metrics.threshold_sweep(d.scored, d.truth)))
+
+
+@_query(
+    """SELECT tp, fp, fn, round(tp / (tp + fp)::DOUBLE, 6) AS precision, round(tp / (tp + fn)::DOUBLE, 6) AS recall,
+         round(1.25 * (tp / (tp + fp)::DOUBLE) * (tp / (tp + fn)::DOUBLE) / (0.25 * (tp / (tp + fp)::DOUBLE) + tp / (tp + fn)::DOUBLE), 6) AS f0_5
+       FROM (SELECT count(*) FILTER (score >= 0.5 AND label = 1) AS tp, count(*) FILTER (score >= 0.5 AND label = 0) AS fp, count(*) FILTER (score < 0.5 AND label = 1) AS fn FROM lab)""",
+    "lab",
+)
+def pairwise_prf(d):
+    return _r6(metrics.pairwise_scores(d.labelled))
+
+
+@_query("SELECT label::BIGINT AS label, count(*) AS n FROM lab GROUP BY 1", "lab")
+def class_distribution(d):
+    return _r6(training.class_distribution(d.labelled))
+
+
+@_query(f"SELECT {_IDS}CASE WHEN k <= floor(0.8 * n) THEN 'train' ELSE 'validation' END AS split FROM cand JOIN grp USING ({S1})", "cand", "grp")
+def grouped_split(d):
+    return training.grouped_split(d.cand, 0.8, 42).select(S1, CAND, "split")
+
+
+@_query(
+    f"""SELECT {S1}, {CAND}, max(label)::BIGINT AS label FROM (
+          SELECT {S1}, min({CAND}) AS {CAND}, 1 AS label FROM truth WHERE {S1} IN (SELECT {S1} FROM u ORDER BY 1 LIMIT 20) GROUP BY 1
+          UNION ALL SELECT DISTINCT {S1}, (SELECT min(entity_id) FROM r WHERE entity_id LIKE 'S2%'), 0 FROM truth WHERE {S1} IN (SELECT {S1} FROM u ORDER BY 1 LIMIT 20)) GROUP BY 1, 2""",
+    "truth",
+    "u",
+)
+def dev_sample(d):
+    return _r6(training.dev_sample(d.s1, d.others, d.truth))
+
+
+def _cases(d):
+    judged = d.labelled.select(S1, CAND, "score", (F.col("score") >= 0.5).cast("int").alias("prediction"), F.col("label").alias("ground_truth_label"))
+    return errors.error_cases(judged, d.r)
+
+
+@_query("SELECT CASE WHEN score >= 0.5 AND label = 0 THEN 'FP' WHEN score < 0.5 AND label = 1 THEN 'FN' ELSE 'correct' END AS error_type, count(*) AS n FROM lab GROUP BY 1", "lab")
+def error_types(d):
+    return _cases(d).groupBy("error_type").agg(F.count("*").alias("n"))
+
+
+@_query("SELECT count(*) AS pairs, count(*) FILTER (score >= 0.5 AND label = 0) AS false_positives, count(*) FILTER (score < 0.5 AND label = 1) AS false_negatives, round(count(*) FILTER (score >= 0.5 AND label = 0) / count(*)::DOUBLE, 6) AS fp_rate, round(count(*) FILTER (score < 0.5 AND label = 1) / count(*)::DOUBLE, 6) AS fn_rate FROM lab", "lab")
+def error_rates(d):
+    return _r6(errors.error_rates(_cases(d)))
+
+
+@_query()
+def error_categories(d):
+    return errors.category_counts(_cases(d))
+
+
+def _ordered(d):
+    return d.s1.select(F.split("entity_id", "-")[1].cast("long").alias("pos"), F.col("entity_id").alias(S1))
+
+
+def _matched(d):
+    return d.predicted.groupBy(S1).agg(F.array_sort(F.collect_set(CAND)).alias("ids"))
+
+
+@_query(f"SELECT split_part({S1}, '-', 2)::BIGINT AS pos, {S1}, coalesce(l, '') AS matched_entity_ids FROM u LEFT JOIN (SELECT {S1}, string_agg({CAND}, ',' ORDER BY {CAND}) AS l FROM pred GROUP BY 1) USING ({S1})", "u", "pred")
+def submission_rows(d):
+    return submission.list_rows(_ordered(d), _matched(d), "matched_entity_ids")
+
+
+@_query("SELECT unnest(['matched_row_count', 'matched_unique_ids', 'matched_no_repeats', 'matched_prefix', 'matched_known_ids', 'candidate_row_count', 'candidate_unique_ids', 'candidate_no_repeats', 'candidate_prefix', 'candidate_known_ids', 'matches_in_candidates']) AS check, 0::BIGINT AS violations")
+def validation_checks(d):
+    cand = d.cand.groupBy(S1).agg(F.array_sort(F.collect_set(CAND)).alias("ids"))
+    wide = [submission.list_rows(_ordered(d), x, n).drop("pos") for x, n in ((_matched(d), "matched_entity_ids"), (cand, "candidate_entity_ids"))]
+    return submission.check_rows(d.s1, d.others, *wide)
+
+
+_FIELDS = ("business_name", "business_address", "country")
+
+
+@_query("SELECT c AS column, rows, missing, round(missing / greatest(rows, 1)::DOUBLE, 6) AS share FROM (SELECT count(*) AS rows, " + ", ".join(f"count(*) FILTER (trim(coalesce({c}, '')) = '') AS {c}" for c in _FIELDS) + " FROM r) UNPIVOT (missing FOR c IN (" + ", ".join(_FIELDS) + "))", "r")
+def profile_missing(d):
+    return _r6(profiling.missing_counts(d.r, list(_FIELDS)))
+
+
+@_query("SELECT sum(n)::BIGINT AS rows, count(*) AS distinct_ids, count(*) FILTER (n > 1) AS repeated_ids FROM (SELECT entity_id, count(*) AS n FROM r GROUP BY 1)", "r")
+def profile_duplicates(d):
+    return profiling.duplicate_ids(d.r)
+
+
+_STATS = "SELECT min(n)::BIGINT AS min_len, max(n)::BIGINT AS max_len, round(avg(n), 6) AS mean_len, round(quantile_cont(n, 0.5), 6) AS median_len, round(stddev_samp(n), 6) AS std_len, round(quantile_cont(n, 0.25), 6) AS q1, round(quantile_cont(n, 0.75), 6) AS q3, round(quantile_cont(n, 0.95), 6) AS p95, round(quantile_cont(n, 0.99), 6) AS p99 FROM "
+
+
+@_query(_STATS + "(SELECT length(business_address) AS n FROM r)", "r")
+def profile_lengths(d):
+    return _r6(profiling.length_stats(d.r, "business_address"))
+
+
+@_query(_STATS + "(SELECT CASE WHEN business_address = '' THEN 0 ELSE len(string_split(business_address, ' ')) END AS n FROM r)", "r")
+def profile_words(d):
+    return _r6(profiling.length_stats(d.r, "business_address", words=True))
+
+
+@_query("SELECT min((length(business_name), business_name))[2] AS shortest, min((-length(business_name), business_name))[2] AS longest FROM r WHERE trim(business_name) <> ''", "r")
+def profile_extremes(d):
+    return profiling.extremes(d.r, "business_name")
+
+
+@_query("SELECT country, count(*) AS n, round(count(*) / sum(count(*)) OVER ()::DOUBLE, 6) AS share FROM r GROUP BY 1", "r")
+def country_distribution(d):
+    return _r6(profiling.distribution(d.r, "country"))
+
+
+@_query(f"SELECT matches, count(*) AS entities FROM (SELECT u.{S1}, count({CAND}) AS matches FROM u LEFT JOIN truth USING ({S1}) GROUP BY 1) GROUP BY 1", "u", "truth")
+def match_histogram(d):
+    return profiling.match_histogram(d.universe, d.truth)
+
+
+@_query(f"SELECT left({CAND}, 2) AS src, count(*) AS pairs, count(DISTINCT {CAND}) AS matched_ids FROM truth GROUP BY 1", "truth")
+def matches_per_source(d):
+    return profiling.matches_per_source(d.truth)
+
+
+@_query("SELECT left(entity_id, 2) AS src, count(*) AS n, count(*) FILTER (m) AS matched, round(1 - count(*) FILTER (m) / count(*)::DOUBLE, 6) AS distractor_rate FROM (SELECT entity_id, entity_id IN (SELECT " + CAND + " FROM truth) AS m FROM r WHERE entity_id NOT LIKE 'S1%') GROUP BY 1", "r", "truth")
+def coverage(d):
+    return _r6(profiling.coverage(d.others, d.truth))
+
+
+@_query(f"SELECT count(*) AS unknown_ids FROM (SELECT DISTINCT {CAND} FROM truth) WHERE {CAND} NOT IN (SELECT entity_id FROM r)", "truth")
+def gt_integrity(d):
+    return profiling.unknown_truth_ids(d.truth, d.others)
+
+
+@_query(f"SELECT 'only_first' AS side, count(*) AS n FROM (SELECT {S1} FROM u EXCEPT SELECT {S1} FROM truth) UNION ALL SELECT 'only_second', count(*) FROM (SELECT {S1} FROM truth EXCEPT SELECT {S1} FROM u)", "u", "truth")
+def gt_id_sets(d):
+    return profiling.id_set_difference(d.universe, d.truth, S1, S1)
+
+
+@_query("SELECT DISTINCT country FROM r WHERE entity_id NOT LIKE 'S1%' AND country NOT IN (SELECT country FROM r WHERE entity_id LIKE 'S1%' AND country <> 'es')", "r")
+def country_set_diff(d):
+    return profiling.new_values(d.s1.filter("country <> 'es'"), d.others, "country")
+
+
+@_query()
+def model_scores(d):
+    pairs = d.cand
+    vocabularies = features.fit_vocabularies(d.s1, d.others, pairs)
+    x = training.label_pairs(features.pair_features(pairs, d.s1, d.others, vocabularies), d.universe, d.truth)
+    split = training.grouped_split(pairs, 0.8, 42)
+    parts = x.join(split, [S1, CAND]).persist()
+    model = training.fit_classifier(parts.filter("split = 'train'"), features.FEATURES, "logistic")
+    return training.score(model, parts).select(S1, CAND, "label", "split", "score", "prediction")
