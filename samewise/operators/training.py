@@ -62,7 +62,7 @@ def check_matrix(features: DataFrame, columns: list[str]) -> None:
         raise ValueError(f"missing or infinite values: {[c for c in columns if bad[c]]}")
 
 
-def fit_classifier(features: DataFrame, columns: list[str], kind: str = "logistic", seed: int = 42, trees: int = 100):
+def fit_classifier(features: DataFrame, columns: list[str], kind: str = "logistic", seed: int = 42, trees: int = 100, max_iterations: int = 1000):
     """A fitted pipeline on balanced class weights; needs two classes in ``label``."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -77,7 +77,7 @@ def fit_classifier(features: DataFrame, columns: list[str], kind: str = "logisti
     n = sum(counts.values())
     weight = F.when(F.col("label") == 1, n / (2 * counts[1])).otherwise(n / (2 * counts[0]))
     if kind == "logistic":
-        learner = LogisticRegression(weightCol="_weight", regParam=1.0 / n, elasticNetParam=0.0, standardization=False, maxIter=1000)
+        learner = LogisticRegression(weightCol="_weight", regParam=1.0 / n, elasticNetParam=0.0, standardization=False, maxIter=max_iterations)
     elif kind == "forest":
         learner = RandomForestClassifier(weightCol="_weight", numTrees=trees, maxDepth=12, seed=seed)
     else:

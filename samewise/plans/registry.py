@@ -447,5 +447,5 @@ def model_scores(d):
     x = training.label_pairs(features.pair_features(pairs, d.s1, d.others, vocabularies), d.universe, d.truth)
     split = training.grouped_split(pairs, 0.8, 42)
     parts = x.join(split, [S1, CAND]).persist()
-    model = training.fit_classifier(parts.filter("split = 'train'"), features.FEATURES, "logistic")
+    model = training.fit_classifier(parts.filter("split = 'train'"), features.FEATURES, "logistic", max_iterations=60)
     return training.score(model, parts).select(S1, CAND, "label", "split", "score", "prediction")
