@@ -15,6 +15,10 @@ _ODD_SPACES = re.compile(r" \s|\s ")
 #: White space other than the space and the line feed, which are searched for first.
 _RARE_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _BATCH = 4096
+#: A word that parts others when many are encoded as one text, and how many.
+_BETWEEN, _JOINED = "~", 128
+#: Signs that are a pre-token of their own after letters only.
+_TAIL = ".,!?;:#*$%&"
 _loaded: dict[str, ChunkEncoder] = {}
 
 
@@ -30,14 +34,32 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.limit, self.heads, self.rest = limit, {}, {}
-        self.marks = dict(zip(",.", self._encode([",", "."]), strict=True))
+        self.marks: dict[str, bytes] = {}
+        self.between = next(self._encode([f" {_BETWEEN}"]))
 
     def _encode(self, texts: list[str]):
         for i in range(0, len(texts), _BATCH):
             for e in self.tokenizer.encode_batch_fast(texts[i : i + _BATCH], add_special_tokens=False):
                 yield array("I", e.ids).tobytes()
 
+    def _encode_words(self, words: list[str]):
+        """Ids of each word after a space; a group of words is one text with _BETWEEN as every second word."""
+        import numpy as np
+
+        single = len(self.between) == 4
+        mark, size = np.frombuffer(self.between[:4], "<u4")[0], _JOINED if single else 1
+        groups = [words[i : i + size] for i in range(0, len(words), size)]
+        coded = self._encode([" " + f" {_BETWEEN} ".join(g) for g in groups])
+        for group, ids in zip(groups, coded, strict=True):
+            ends = [*(4 * np.flatnonzero(np.frombuffer(ids, "<u4") == mark)).tolist(), len(ids)] if single else [len(ids)]
+            if len(ends) == len(group):
+                yield from (ids[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends, strict=False))
+            else:  # a word holds the mark itself
+                yield from self._encode([" " + w for w in group])
+
     def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.marks) > self.limit // 8:
+            self.marks = {}
         if len(self.rest) > self.limit:
             self.rest = {}
         if len(self.heads) > self.limit // 8:
@@ -54,20 +76,21 @@ class ChunkEncoder:
                 new_heads.add(head)
             chunks[0] = "a"
             coded = list(map(rest.get, chunks))
-            gaps = ()
+            gaps = []
             if not all(coded):
-                gaps = [k for k, v in enumerate(coded) if not v]
-                for k in gaps:
-                    word, _ = self._parts(chunks[k])
-                    if word not in rest:
+                for k in [k for k, v in enumerate(coded) if not v]:
+                    word, mark = self._parts(chunks[k])
+                    known = rest.get(word)
+                    if known:  # a word seen before with other signs after it
+                        coded[k] = rest[chunks[k]] = known + mark
+                    else:
                         new_rest.add(word)
-                chunks = [chunks[k] for k in gaps]
-            split.append((i, head, coded, gaps, chunks))
+                        gaps.append((k, word, mark))
+            split.append((i, head, coded, gaps))
         heads.update(zip(new_heads, self._encode(list(new_heads)), strict=True))
-        rest.update(zip(new_rest, self._encode([" " + c for c in new_rest]), strict=True))
-        for i, head, coded, gaps, chunks in split:
-            for k, c in zip(gaps, chunks, strict=False):
-                word, mark = self._parts(c)
+        rest.update(zip(new_rest, self._encode_words(list(new_rest)), strict=True))
+        for i, head, coded, gaps in split:
+            for k, word, mark in gaps:
                 coded[k] = rest[word] + mark
             coded[0] = heads[head]
             out[i] = b"".join(coded)
@@ -76,9 +99,14 @@ class ChunkEncoder:
         return out
 
     def _parts(self, chunk: str) -> tuple[str, bytes]:
-        """A comma or full stop after letters only is a pre-token of its own, so the word before it stands for the chunk."""
-        mark = self.marks.get(chunk[-1:])
-        return (chunk[:-1], mark) if mark and chunk[:-1].isalpha() else (chunk, b"")
+        """Signs after letters only are a pre-token of their own, so the word before them stands for the chunk."""
+        word = chunk.rstrip(_TAIL)
+        if len(word) == len(chunk) or not word.isalpha():
+            return chunk, b""
+        tail = chunk[len(word) :]
+        if tail not in self.marks:
+            self.marks[tail] = next(self._encode([tail]))
+        return word, self.marks[tail]
 
 
 def has_odd_spaces(t: str) -> bool:

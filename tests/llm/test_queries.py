@@ -406,3 +406,15 @@ def test_pipeline(spark, folder):
         after = stage(spark, frame, folder)
         assert after.columns == frame.columns
         frame = after
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_cached_encoding_equals_whole_texts(name):
+    from samewise.llm.token_cache import ChunkEncoder
+
+    texts = ["", " ", "~", "a ~ b~c !!! d", "a~ ~b ~~ c", "foo's ... bar?! 12.5, x", "Σας ΟΔΟΣ, é́x á!", "one two, one two. one\ntwo one, two", "end #*$ end#*$ 7, 7"]
+    coder = ChunkEncoder(P.path(name), limit=4)
+    for _ in range(3):
+        whole = [b"".join(i.to_bytes(4, "little") for i in coder.tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+        assert coder.encode(texts) == whole
+        assert [coder.encode([t])[0] for t in texts] == whole
