@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samewise.llm.common import id_remainder, saved
+from samewise.llm.common import id_remainder
 
 FIT_ROWS, FIT_PAIRS = 20_000, 100_000
 FEATURES = ("word_length", "log_words", "upper", "symbols", "marks", "digits", "other", "top_word", "adjacent_repeats", "distinct_words", "bars", "repeated_lines", "log_line_words", "marked_words", "long_words")
@@ -112,40 +112,42 @@ def with_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.withColumn("_features", of(F.coalesce(F.col(text_col), F.lit(""))))
 
 
-def fit_quality(featured: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> PairwiseModel:
-    """Learn from labelled rows outside the held-out third. featured: doc_id, _features."""
+def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> PairwiseModel:
+    """Learn from labelled rows outside the held-out third. docs: doc_id (long), text.
+
+    The sample is cut by ids first, so features are computed for its rows alone.
+    """
     marks = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    learn = featured.filter(id_remainder(F.col("doc_id"), 3) != 1).join(marks, "doc_id")
-    sample = learn.orderBy(F.xxhash64("doc_id"), "doc_id", "_features").limit(rows).select("_features", "quality").collect()
-    return fit_pairs([r[0] for r in sample], [r[1] == 1 for r in sample])
+    hashed = docs.withColumn("_hash", F.xxhash64("doc_id"))
+    learn = hashed.filter(id_remainder(F.col("doc_id"), 3) != 1).join(marks, "doc_id")
+    cut = learn.select("_hash").orderBy("_hash").limit(rows).agg(F.max("_hash")).first()[0]
+    if cut is None:
+        return fit_pairs([], [])
+    sample = with_features(learn.filter(F.col("_hash") <= cut)).select("_hash", "doc_id", "_features", "quality")
+    fitted = sample.orderBy("_hash", "doc_id", "_features").limit(rows).select("_features", "quality").collect()
+    return fit_pairs([r[0] for r in fitted], [r[1] == 1 for r in fitted])
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row."""
-    featured = saved(with_features(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text"), "features")
-    model = fit_quality(featured, labels)
+def _scored(docs: DataFrame, labels: DataFrame):
+    """A Pandas UDF from whole texts to scores."""
+    model = fit_quality(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels)
 
     @F.pandas_udf("double")
-    def score(x):
-        import numpy as np
+    def score(texts):
         import pandas as pd
 
-        return pd.Series(model.scores(np.stack(x.to_numpy())) if len(x) else [], dtype=float)
+        return pd.Series(model.scores([features(t) for t in texts]) if len(texts) else [], dtype=float)
+
+    return score(F.coalesce(docs["text"], F.lit("")))
 
-    held_out = F.coalesce(id_remainder(F.col("doc_id"), 3) == 1, F.lit(False))
-    scored = featured.select("doc_id", held_out.alias("held_out"), score("_features").alias("score"))
+
+def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted for every row."""
+    doc_id = docs["doc_id"].cast("long")
+    scored = docs.select(doc_id.alias("doc_id"), F.coalesce(id_remainder(doc_id, 3) == 1, F.lit(False)).alias("held_out"), _scored(docs, labels).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose score is 0.5 or more, all columns as they are."""
-    featured = with_features(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))).drop("text")
-    model = fit_quality(saved(featured, "features"), labels)
-
-    @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
-        return pd.Series(model.scores([features(t) for t in texts]) if len(texts) else [], dtype=float)
-
-    return docs.filter(score(F.coalesce(docs["text"], F.lit(""))) >= 0.5)
+    return docs.filter(_scored(docs, labels) >= 0.5)
