@@ -76,9 +76,10 @@ class Scanner:
         """(first word, words, label) of each place of a phrase."""
         found = []
         for phrase, label in self.phrases.items():
-            at = line.find(phrase)
-            while at >= 0:
-                found.append((line.count(b" ", 0, at), phrase.count(b" ") - 1, label))
+            at, word, counted = line.find(phrase), 0, 0
+            while at >= 0:  # words are counted on from the last place, so many places cost one pass
+                word, counted = word + line.count(b" ", counted, at), at
+                found.append((word, phrase.count(b" ") - 1, label))
                 at = line.find(phrase, at + 1)
         return found
 
@@ -91,15 +92,16 @@ class Scanner:
         found = []
         for i, starts in near.items():
             notice, label = self.notices[i]
-            e, done = edits_of(notice), -1
+            e, done, word, counted = edits_of(notice), -1, 0, 0
             for start in sorted(starts):
                 if start < done:
                     continue
                 a, b = max(0, start - e - 1), start + len(notice) + e + 1
                 if m := self.patterns[i].search(text, a, min(len(text), b)):
-                    first = text.count(" ", 0, m.start()) - 1
-                    found.append((label, notice, sum(m.fuzzy_counts), first, first + m.group().count(" ")))
-                    done = m.end()
+                    # A later window may reach back before the last match.
+                    word += text.count(" ", counted, m.start()) if m.start() >= counted else -text.count(" ", m.start(), counted)
+                    counted, done = m.start(), m.end()
+                    found.append((label, notice, sum(m.fuzzy_counts), word - 1, word - 1 + m.group().count(" ")))
         return sorted(found, key=lambda x: (x[3], x[2], x[0]))
 
 
