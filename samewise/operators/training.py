@@ -62,10 +62,69 @@ def check_matrix(features: DataFrame, columns: list[str]) -> None:
         raise ValueError(f"missing or infinite values: {[c for c in columns if bad[c]]}")
 
 
+def newton_logistic(features: DataFrame, columns: list[str], weights: tuple[float, float], max_iterations: int = 1000):
+    """Coefficients and intercept that minimize the weighted logistic loss plus half the coefficients' squares.
+
+    Newton's method with step halving, one distributed pass a step. Spark's own solver works on columns
+    scaled to unit deviation, where the penalty of nearly constant columns makes L-BFGS slow or stop at the start.
+    """
+    import warnings
+
+    import numpy as np
+
+    k = len(columns) + 1
+
+    def sums_at(w):
+        def of(batches):
+            import pandas as pd
+
+            total = np.zeros(1 + k + k * k)
+            for batch in batches:
+                x = np.column_stack([batch[columns].to_numpy(float), np.ones(len(batch))])
+                y = batch["label"].to_numpy(float)
+                c, z = np.where(y == 1, weights[1], weights[0]), x @ w
+                p = np.exp(-np.logaddexp(0, -z))
+                hessian = (x * (c * p * (1 - p))[:, None]).T @ x
+                total += np.concatenate([[(c * np.logaddexp(0, np.where(y == 1, -z, z))).sum()], x.T @ (c * (p - y)), hessian.ravel()])
+            yield pd.DataFrame({"sums": [total]})
+
+        total = np.sum([r.sums for r in features.select(*columns, "label").mapInPandas(of, "sums array<double>").collect()], axis=0)
+        ridge = np.append(np.ones(k - 1), 0.0)
+        return total[0] + (ridge * w * w).sum() / 2, total[1 : 1 + k] + ridge * w, total[1 + k :].reshape(k, k) + np.diag(ridge)
+
+    w, step = np.zeros(k), None
+    loss, grad, hessian = sums_at(w)
+    for _ in range(max_iterations):
+        if step is None:
+            step = -np.linalg.solve(hessian, grad)
+            if -grad @ step <= 1e-16 * (1 + loss):
+                break
+        at = sums_at(w + step)
+        if at[0] > loss + 1e-12 * (1 + loss):
+            step = step / 2
+            continue
+        w, step = w + step, None
+        loss, grad, hessian = at
+    else:
+        warnings.warn(f"not converged after {max_iterations} passes", stacklevel=2)
+    return w[:-1], float(w[-1])
+
+
+def _logistic_model(spark, coefficients, intercept: float):
+    from pyspark.ml.classification import LogisticRegressionModel
+    from pyspark.ml.common import _py2java
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.util import Identifiable
+
+    uid = f"LogisticRegression_{Identifiable().uid.rpartition('_')[2]}"
+    java = spark._jvm.org.apache.spark.ml.classification.LogisticRegressionModel(uid, _py2java(spark.sparkContext, Vectors.dense(coefficients)), intercept)
+    return LogisticRegressionModel(java)
+
+
 def fit_classifier(features: DataFrame, columns: list[str], kind: str = "logistic", seed: int = 42, trees: int = 100, max_iterations: int = 1000):
     """A fitted pipeline on balanced class weights; needs two classes in ``label``."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
     # Fitting passes over the rows many times.
@@ -75,14 +134,14 @@ def fit_classifier(features: DataFrame, columns: list[str], kind: str = "logisti
     if len(counts) < 2:
         raise ValueError("only one class")
     n = sum(counts.values())
-    weight = F.when(F.col("label") == 1, n / (2 * counts[1])).otherwise(n / (2 * counts[0]))
+    assembler, weights = VectorAssembler(inputCols=columns, outputCol="features"), (n / (2 * counts[0]), n / (2 * counts[1]))
     if kind == "logistic":
-        learner = LogisticRegression(weightCol="_weight", regParam=1.0 / n, elasticNetParam=0.0, standardization=False, maxIter=max_iterations)
+        model = PipelineModel([assembler, _logistic_model(features.sparkSession, *newton_logistic(features, columns, weights, max_iterations))])
     elif kind == "forest":
         learner = RandomForestClassifier(weightCol="_weight", numTrees=trees, maxDepth=12, seed=seed)
+        model = Pipeline(stages=[assembler, learner]).fit(features.withColumn("_weight", F.when(F.col("label") == 1, weights[1]).otherwise(weights[0])))
     else:
         raise ValueError(f"unknown model {kind}")
-    model = Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features"), learner]).fit(features.withColumn("_weight", weight))
     features.unpersist()
     return model
 

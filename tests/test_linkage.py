@@ -238,3 +238,25 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [(r[S1], r[CAND]) for r in spark.read.parquet(f"{tmp_path}/out").collect()] == [("S1-1", "S2-9")]
+
+
+def test_model_scores(spark, monkeypatch):
+    """The scores of the registered query are those of the converged model: the only point where the gradient is zero."""
+    import numpy as np
+
+    from samewise.plans import registry
+
+    seen, score = [], training.score
+    monkeypatch.setattr(training, "score", lambda model, x: seen.append(x) or score(model, x))
+    got = {(r[S1], r[CAND]): r for r in registry.QUERIES["model_scores"](spark, "/root/testdata/sf0.001").collect()}
+    rows = seen[0].collect()
+    assert len(got) == len(rows) and {r.split for r in rows} == {"train", "validation"}
+    x = np.array([[r[c] for c in features.FEATURES] for r in rows], dtype=float)
+    y, p = (np.array([getattr(got[r[S1], r[CAND]], c) for r in rows]) for c in ("label", "score"))
+    train = np.array([r.split == "train" for r in rows])
+    n, ones = train.sum(), y[train].sum()
+    excess = np.where(y == 1, n / (2 * ones), n / (2 * (n - ones))) * (p - y) * train
+    z = -x @ (excess @ x)  # at the optimum the coefficients are -(excess @ x)
+    intercept = np.median(np.log(p / (1 - p)) - z)
+    assert abs(excess.sum()) < 1e-6 and abs(p - 1 / (1 + np.exp(-z - intercept))).max() < 1e-6
+    assert all(got[r[S1], r[CAND]].prediction == (got[r[S1], r[CAND]].score >= 0.5) for r in rows)
