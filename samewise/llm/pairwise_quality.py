@@ -2,11 +2,12 @@
 
 Labelled documents form pairs (good, bad). A linear score of text features is
 fitted so that the logistic loss of the score difference is least, which is the
-Bradley-Terry model with features. The cut is the quantile of the labelled
-scores at the share of bad labels; a logistic curve around it maps scores to 0..1.
+Bradley-Terry model with features. The cut is the quantile of the
+scores at the share of bad labels, over all labelled rows outside the held-out third; a logistic
+curve around it maps scores to 0..1.
 
-The fit uses at most ``FIT_ROWS`` labelled rows, those with the smallest hashes of
-their ids, and ``FIT_PAIRS`` pairs; features and scores cover every row. Null texts are
+The weights are fitted on at most ``FIT_ROWS`` labelled rows, those with the smallest hashes of
+their ids, and ``FIT_PAIRS`` pairs; the cut, features and scores cover every row. Null texts are
 empty and scored like any; rows with a null id are scored but never learned
 from. Of several labels of an id the lowest counts. Without labels of both kinds every score
 is 0.5, which accepts. An empty table gives an empty result.
@@ -15,12 +16,12 @@ is 0.5, which accepts. An empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samewise.llm.common import id_remainder
+from samewise.llm.common import id_remainder, saved
 
 FIT_ROWS, FIT_PAIRS = 20_000, 100_000
 FEATURES = ("word_length", "log_words", "upper", "symbols", "marks", "digits", "other", "top_word", "adjacent_repeats", "distinct_words", "bars", "repeated_lines", "log_line_words", "marked_words", "long_words")
@@ -69,11 +70,13 @@ class PairwiseModel:
     cut: float
     slope: float
 
-    def scores(self, x):
+    def raw(self, x):
         import numpy as np
 
-        raw = np.clip((np.asarray(x, dtype=float).reshape(-1, len(self.weights)) - self.middle) / self.spread, -8, 8) @ np.asarray(self.weights)
-        return 1 / (1 + np.exp(-np.clip(self.slope * (raw - self.cut), -30, 30)))
+        return np.clip((np.asarray(x, dtype=float).reshape(-1, len(self.weights)) - self.middle) / self.spread, -8, 8) @ np.asarray(self.weights)
+
+    def score(self, raw: Column) -> Column:
+        return 1 / (1 + F.exp(-F.greatest(F.least(self.slope * (raw - F.lit(self.cut)), F.lit(30.0)), F.lit(-30.0))))
 
 
 def fit_pairs(x, good, n_pairs: int = FIT_PAIRS, ridge: float = 1e-3, seed: int = 7) -> PairwiseModel:
@@ -112,12 +115,29 @@ def with_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.withColumn("_features", of(F.coalesce(F.col(text_col), F.lit(""))))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> PairwiseModel:
-    """Learn from labelled rows outside the held-out third. docs: doc_id (long), text.
+def middle_of_ranks(raw: DataFrame, i: int, n: int) -> float:
+    """Midway between the values of rank i - 1 and i, from 0, of the n in column ``raw``; 0 < i < n.
+
+    Approximate quantiles bound the two ranks, and only the values between the bounds are ranked exactly.
+    """
+    for slack in (0.001, 1.0):
+        low, high = raw.agg(F.percentile_approx("raw", [max(0.0, (i - 1) / n - slack), min(1.0, (i + 1) / n + slack)], 10_000)).first()[0]
+        rank = raw.filter(F.col("raw") < low).count()
+        near = raw.filter(F.col("raw").between(low, high)).groupBy("raw").count().orderBy("raw").collect()
+        if rank <= i - 1 and rank + sum(r["count"] for r in near) > i:
+            break
+    ends = []
+    for r in near:
+        ends += [r.raw for k in (i - 1, i) if rank <= k < rank + r["count"]]
+        rank += r["count"]
+    return sum(ends) / 2
+
+
+def fit_weights(docs: DataFrame, marks: DataFrame, rows: int = FIT_ROWS) -> PairwiseModel:
+    """Learn from a sample of the labelled rows outside the held-out third. docs: doc_id (long), text.
 
     The sample is cut by ids first, so features are computed for its rows alone.
     """
-    marks = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     hashed = docs.withColumn("_hash", F.xxhash64("doc_id"))
     learn = hashed.filter(id_remainder(F.col("doc_id"), 3) != 1).join(marks, "doc_id")
     cut = learn.select("_hash").orderBy("_hash").limit(rows).agg(F.max("_hash")).first()[0]
@@ -128,26 +148,38 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Pai
     return fit_pairs([r[0] for r in fitted], [r[1] == 1 for r in fitted])
 
 
-def _scored(docs: DataFrame, labels: DataFrame):
-    """A Pandas UDF from whole texts to scores."""
-    model = fit_quality(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels)
+def fit_quality(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = (), rows: int = FIT_ROWS) -> tuple[PairwiseModel, DataFrame]:
+    """The model, and doc_id, raw and _row (the columns ``keep``) of every row, saved.
+
+    Raw scores are computed once, before the labels are joined, so no text is shuffled for the cut.
+    """
+    marks = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    ids = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
+    model = fit_weights(ids, marks, rows)
 
     @F.pandas_udf("double")
-    def score(texts):
+    def raw(texts):
         import pandas as pd
 
-        return pd.Series(model.scores([features(t) for t in texts]) if len(texts) else [], dtype=float)
+        return pd.Series(model.raw([features(t) for t in texts]) if len(texts) else [], dtype=float)
 
-    return score(F.coalesce(docs["text"], F.lit("")))
+    row = [F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_row")] if keep else []
+    scored = saved(docs.select(docs["doc_id"].cast("long").alias("doc_id"), raw(F.coalesce(docs["text"], F.lit(""))).alias("raw"), *row), "scored")
+    if any(model.weights):
+        learn = saved(scored.filter(id_remainder(F.col("doc_id"), 3) != 1).join(marks, "doc_id").select("raw", (F.col("quality") != 1).alias("bad")), "labelled")
+        n, bad = learn.agg(F.count("*"), F.count_if("bad")).first()
+        model = replace(model, cut=middle_of_ranks(learn, bad, n))
+    return model, scored
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row."""
-    doc_id = docs["doc_id"].cast("long")
-    scored = docs.select(doc_id.alias("doc_id"), F.coalesce(id_remainder(doc_id, 3) == 1, F.lit(False)).alias("held_out"), _scored(docs, labels).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    model, scored = fit_quality(docs, labels)
+    held_out = F.coalesce(id_remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), model.score(F.col("raw")).alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose score is 0.5 or more, all columns as they are."""
-    return docs.filter(_scored(docs, labels) >= 0.5)
+    model, scored = fit_quality(docs, labels, tuple(docs.columns))
+    return scored.filter(model.score(F.col("raw")) >= 0.5).select("_row.*")

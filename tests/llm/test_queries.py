@@ -178,6 +178,25 @@ def test_op4_rows(result, docs):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got)
 
 
+def test_op4_cut_covers_all_labelled_rows(spark):
+    from samewise.llm.pairwise_quality import features, fit_quality, middle_of_ranks
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    marks = {}
+    for r in labels.collect():
+        marks[r.doc_id] = min(r.quality, marks.get(r.doc_id, 1))
+    rows = [(r.text or "", marks[r.doc_id]) for r in docs.collect() if r.doc_id in marks and zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    model, _ = fit_quality(docs, labels, rows=60)
+    assert len(rows) > 120
+    raw, bad = sorted(float(model.raw([features(t)])[0]) for t, _ in rows), sum(q != 1 for _, q in rows)
+    assert model.cut == pytest.approx((raw[bad - 1] + raw[bad]) / 2, rel=1e-9)
+    rng = random.Random(4)
+    values = [float(rng.randrange(900) ** 2) for _ in range(5000)]
+    frame, ranked = spark.createDataFrame([(v,) for v in values], "raw double"), sorted(values)
+    for i in (1, 2, 1700, 2500, 4998, 4999):
+        assert middle_of_ranks(frame, i, 5000) == (ranked[i - 1] + ranked[i]) / 2
+
+
 def shingles(t, k=4):
     w = words(lower(t))
     return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
