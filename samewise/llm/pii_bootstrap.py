@@ -1,12 +1,12 @@
 """Personal data: fixed patterns, then identifiers found by bootstrapped contexts.
 
-Spans of the fixed patterns are seeds. Words that hold enough digits or an @ are
-instances; the words next to them and their shape make patterns: (left word, shape), (shape, right
+Spans of the fixed patterns are seeds. Words that hold a digit or an @, and runs of
+neighbouring words with digits, are instances; the words next to them and their shape make patterns: (left word, shape), (shape, right
 word) and (left word, right word). Patterns and instances form a bipartite graph.
 Spark scores it iteratively: a pattern's confidence is the mean score of its
 instances, damped for few of them; an instance's score is the noisy-or of its patterns'
 confidences, and seeds keep 1. Then the patterns of high confidence claim
-the instances that no fixed pattern knows, as kind ``id``.
+the instances that no fixed pattern knows, as kind ``id``; of nested ones the outermost counts.
 
 Only distinct (pattern, instance) pairs enter the graph and patterns are summed by partial aggregation,
 so a frequent word makes many edges but no gathered group. Offsets
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,9 +33,13 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_WORD = re.compile(r"[^\s\"'=:,;()<>\[\]{}]+")
-#: An instance has this many digits at least; patterns need this many different seeds and this confidence.
-LEAST_DIGITS, LEAST_SEEDS, CONFIDENT, ROUNDS, DAMPING = 6, 5, 0.6, 3, 2.0
+# Words with a digit or an @; possessive from the word's start on, so each word is read once.
+_WORD = re.compile(r"(?<![^\s\"'=:,;()<>\[\]{}])[^\s\"'=:,;()<>\[\]{}\d@]*+[\d@][^\s\"'=:,;()<>\[\]{}]*+")
+_GAP = re.compile(r"[^\S\n]?[()\[\]]?[^\S\n]?")
+#: Every run of at most LONGEST_RUN neighbouring words is an instance, and every whole run.
+LONGEST_RUN = 6
+#: Patterns need this many different seeds and this confidence.
+LEAST_SEEDS, CONFIDENT, ROUNDS, DAMPING = 5, 0.6, 3, 2.0
 
 
 def luhn(digits: str) -> bool:
@@ -83,25 +87,38 @@ def shape_of(word: str) -> str:
     return re.sub(r"[0-9]+", "0", re.sub(r"[A-Z]+", "A", re.sub(r"[a-z]+", "a", word.replace("0", "1"))))[:24]
 
 
+def _opened(text: str, a: int, b: int) -> int:
+    """``a``, or the place of the bracket before it if that is closed within the run."""
+    close = {"(": ")", "[": "]"}.get(text[a - 1 : a])
+    return a - 1 if close and close in text[a:b] else a
+
+
 def instances(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int, bool, list[str]]]:
     """(start, end, is a seed, patterns) of each identifier-like word and each span."""
-    if not spans and not _DIGIT.search(text):
-        return []
-    found, covered = [], sorted((a, b) for a, b, _ in spans)
-    places = [(a, b, True) for a, b in covered]
-    for m in re.finditer(r"[0-9]", text):
-        at = m.start()
-        if places and not places[-1][2] and places[-1][0] <= at < places[-1][1]:
-            continue
-        a = at
-        while a > 0 and not text[a - 1].isspace() and text[a - 1] not in "\"'=:,;()<>[]{}":
-            a -= 1
-        b = _WORD.match(text, a).end() if _WORD.match(text, a) else a + 1
-        word = text[a:b].rstrip(".!?&*$%#|")
+    found, covered = [], []
+    for a, b, _ in spans:
+        if covered and a < covered[-1][1]:
+            covered[-1][1] = max(b, covered[-1][1])
+        else:
+            covered.append([a, b])
+    places, runs, next_span = {(a, b): True for a, b, _ in spans}, [], 0
+    for m in _WORD.finditer(text):
+        a = m.start()
+        word = m.group().rstrip(".!?&*$%#|")
         b = a + len(word)
-        if sum(map(str.isdigit, word)) >= LEAST_DIGITS and not any(x < b and a < y for x, y in covered):
-            places.append((a, b, False))
-    for a, b, seed in sorted(set(places)):
+        while next_span < len(covered) and covered[next_span][1] <= a:
+            next_span += 1
+        if not any(map(str.isalnum, word)) or next_span < len(covered) and covered[next_span][0] < b:
+            continue
+        if runs and a - runs[-1][-1][1] <= 3 and a > runs[-1][-1][1] and _GAP.fullmatch(text, runs[-1][-1][1], a):
+            runs[-1].append((a, b))
+        else:
+            runs.append([(a, b)])
+    for run in runs:
+        for i, (a, _) in enumerate(run):
+            places.update(((_opened(text, a, b), b), False) for _, b in run[i : i + LONGEST_RUN])
+        places[_opened(text, run[0][0], run[-1][1]), run[-1][1]] = False
+    for (a, b), seed in sorted(places.items()):
         left = text[max(0, a - 80) : a].split()
         right = text[b : b + 80].split()
         before = left[-1].lower() if left else "^"
@@ -168,10 +185,12 @@ def confident_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 
 def claimed_spans(found: DataFrame) -> DataFrame:
-    """_uid, start, end of the instances that no fixed pattern knows and confident patterns claim."""
+    """_uid, start, end of the instances that no fixed pattern knows and confident patterns claim, outermost ones only."""
     trusted = confident_patterns(pattern_edges(found))
     unknown = found.select("_uid", F.explode("_seen").alias("s")).filter("not s.seed").select("_uid", "s.start", "s.end", F.explode("s.patterns").alias("pattern"))
-    return unknown.join(trusted.select("pattern"), "pattern").select("_uid", "start", "end").distinct()
+    claims = unknown.join(trusted.select("pattern"), "pattern").select("_uid", "start", "end").distinct()
+    before = Window.partitionBy("_uid").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    return claims.withColumn("_reach", F.max("end").over(before)).filter("_reach is null or end > _reach").drop("_reach")
 
 
 def _with_claims(found: DataFrame) -> DataFrame:

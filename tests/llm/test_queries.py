@@ -386,6 +386,20 @@ def test_bootstrap_finds_unseen_identifiers(spark):
     assert texts[0][0].startswith("filler words here my contact is <email> thanks") and texts[201] == (None, None)
 
 
+def test_bootstrap_finds_short_split_and_odd_identifiers(spark):
+    from samewise.llm.pii_bootstrap import personal_data
+
+    odd = ["user@localhost", "ann@münchen.example", "AB-1234", "48213", "509 555 2443", "(509) 555 2443", "12 34 56 78 90 12 34 56"]
+    rows = [(i, f"filler words here my contact is user{i}@mail{i}.example.com thanks and more {'zyxwv'[i % 5]} text") for i in range(40)]
+    rows += [(100 + i, f"other words my contact is {x} thanks bye") for i, x in enumerate(odd)] + [(200, "in 12 b 3 4 c @ d x@y"), (201, "@ @@ . @")]
+    texts = dict(rows)
+    got = {r.doc_id: (r.spans, texts[r.doc_id]) for r in personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, x in enumerate(odd):
+        spans, text = got[100 + i]
+        assert [(s.kind, text[s.start : s.end]) for s in spans] == [("id", x)], x
+    assert got[200][0] == [] and got[201][0] == []
+
+
 def test_golomb_round_trip():
     import numpy as np
 
