@@ -9,6 +9,7 @@ different chunk only once. Texts with other uses of spaces are encoded whole.
 from __future__ import annotations
 
 import re
+import unicodedata
 from array import array
 
 _ODD_SPACES = re.compile(r" \s|\s ")
@@ -101,7 +102,7 @@ class ChunkEncoder:
     def _parts(self, chunk: str) -> tuple[str, bytes]:
         """Signs after letters only are a pre-token of their own, so the word before them stands for the chunk."""
         word = chunk.rstrip(_TAIL)
-        if len(word) == len(chunk) or not word.isalpha():
+        if len(word) == len(chunk) or not _all_letters(word):
             return chunk, b""
         tail = chunk[len(word) :]
         if tail not in self.marks:
@@ -109,6 +110,11 @@ class ChunkEncoder:
         return word, self.marks[tail]
 
 
+def _all_letters(word: str) -> bool:
+    """Letters only, also after normalization, which can end a word in a combining mark that joins the signs."""
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
+
 def has_odd_spaces(t: str) -> bool:
     """Whether a space is at an end of the text or next to other white space."""
     if "  " in t or " \n" in t or "\n " in t or t[:1] == " " or t[-1:] == " ":

@@ -451,3 +451,14 @@ def test_cached_encoding_equals_whole_texts(name):
         whole = [b"".join(i.to_bytes(4, "little") for i in coder.tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
         assert coder.encode(texts) == whole
         assert [coder.encode([t])[0] for t in texts] == whole
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_cached_encoding_of_letters_that_normalize_to_marks(name):
+    from samewise.llm.token_cache import ChunkEncoder
+
+    words = ["AL\u0130", "\u0130", "\u0917\u095d", "\ufb2a", "\u0130stanbul", "\u00e9t\u00e9", "stra\u00dfe", "\ufb01", "\u0958\u0915"]
+    texts = [f"one {w}{s} two {w} {w}{s}" for w in words for s in (".", ",", "?!", "...", "#*$")]
+    coder = ChunkEncoder(P.path(name))
+    for _ in range(2):
+        assert coder.encode(texts) == [b"".join(i.to_bytes(4, "little") for i in coder.tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
