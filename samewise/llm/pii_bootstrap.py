@@ -38,8 +38,8 @@ _WORD = re.compile(r"(?<![^\s\"'=:,;()<>\[\]{}])[^\s\"'=:,;()<>\[\]{}\d@]*+[\d@]
 _GAP = re.compile(r"[^\S\n]?[()\[\]]?[^\S\n]?")
 #: Every run of at most LONGEST_RUN neighbouring words is an instance, and every whole run.
 LONGEST_RUN = 6
-#: Patterns need this many different seeds and this confidence.
-LEAST_SEEDS, CONFIDENT, ROUNDS, DAMPING = 5, 0.6, 3, 2.0
+#: Patterns need this many different seeds or instances of this score, and this confidence.
+LEAST_KNOWN, CONFIDENT, ROUNDS, DAMPING = 5, 0.6, 3, 2.0
 
 
 def luhn(digits: str) -> bool:
@@ -177,8 +177,8 @@ def confident_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     scores = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
     for _ in range(rounds):
         scored = edges.join(scores, "instance")
-        patterns = scored.groupBy("pattern").agg((F.sum("score") / (F.count("*") + F.lit(DAMPING))).alias("confidence"), F.sum(F.col("seed").cast("long")).alias("seeds"))
-        patterns = saved(patterns.filter(F.col("seeds") >= LEAST_SEEDS), "patterns")
+        patterns = scored.groupBy("pattern").agg((F.sum("score") / (F.count("*") + F.lit(DAMPING))).alias("confidence"), F.count_if(F.col("score") >= CONFIDENT).alias("known"))
+        patterns = saved(patterns.filter(F.col("known") >= LEAST_KNOWN), "patterns")
         claims = edges.join(patterns, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log1p(-F.least("confidence", F.lit(0.999999)))))).alias("claim"))
         scores = saved(edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("is_seed")).join(claims, "instance", "left").select("instance", F.greatest("is_seed", F.coalesce("claim", F.lit(0.0))).alias("score")), "scores")
     return patterns.filter(F.col("confidence") >= CONFIDENT).select("pattern", "confidence")

@@ -400,6 +400,16 @@ def test_bootstrap_finds_short_split_and_odd_identifiers(spark):
     assert got[200][0] == [] and got[201][0] == []
 
 
+def test_bootstrap_takes_a_second_hop(spark):
+    from samewise.llm.pii_bootstrap import personal_data
+
+    rows = [(i, f"my contact is user{i}@mail{i}.example.com thanks") for i in range(100)]
+    rows += [(200 + 2 * i + k, t) for i in range(20) for k, t in enumerate((f"my contact is QX{i}-77{i} thanks", f"order code QX{i}-77{i} shipped"))]
+    rows += [(300, "order code ZZ-5 shipped"), (301, "other code ZZ-5 waits")]
+    got = {r.doc_id: r.spans for r in personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(s.start, s.end, s.kind) for s in got[300]] == [(11, 15, "id")] and got[301] == []
+
+
 def test_golomb_round_trip():
     import numpy as np
 
