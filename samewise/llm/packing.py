@@ -12,8 +12,6 @@ an empty result; other columns are not read.
 
 from __future__ import annotations
 
-import struct
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,12 +79,12 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int,
 
         from samewise.llm.token_cache import encoder
 
-        encode, end = encoder(tokenizer).encode, struct.pack("<I", end_id)
+        encode, end = encoder(tokenizer).encode_arrow, np.array([end_id], "<u4")
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part, rows = batch.slice(i, 512), []
-                for doc_id, coded in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), strict=True):
-                    ids = np.frombuffer(coded + end, dtype="<u4").astype(kind)
+                for doc_id, coded in zip(part.column(0).to_pylist(), encode(part.column(1)), strict=True):
+                    ids = np.concatenate([coded, end]).astype(kind)
                     rows += [(doc_id, s, len(ids[s : s + window]), len(ids), ids[s : s + window].tobytes()) for s in range(0, len(ids), window)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 

@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 
 from samewise.llm.common import file_system, id_and_text, shared_folder, write_file
 
+#: Bytes of text in a shard, beyond what the session's number of shuffle partitions makes of a small input.
+SHARD_BYTES = 256 << 20
+
 #: Fixed values of the zstandard frame formats.
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEKABLE_END = 0x184D2A51, 0x184D2A5E, 0x8F92EAB1
 NO_ID = -(2**63)
@@ -86,8 +89,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int =
     """Encode whole texts and write shards in ascending id order; returns the folder.
 
     Rows are range-partitioned by id (and text hash, which splits an id that many
-    rows share); shard names ascend with the ranges. Ids take two bytes if
-    ``vocabulary`` allows. ``folder/manifest`` lists the shards.
+    rows share); shard names ascend with the ranges, and their number grows with the bytes of text. Ids take two bytes if
+    ``vocabulary`` allows. ``folder/manifest`` lists the shards with their first and last doc_id.
     """
     folder = folder or shared_folder(docs.sparkSession, "tokens")
     width = 2 if max(vocabulary, end_id + 1) <= 1 << 16 else 4
@@ -99,18 +102,19 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int =
 
         from samewise.llm.token_cache import encoder
 
-        shard, counts = TaskContext.get().partitionId(), [0, 0]
-        encode, end = encoder(tokenizer).encode, struct.pack("<I", end_id)
+        shard, counts, ends = TaskContext.get().partitionId(), [0, 0], [None, None]
+        encode, end, kind = encoder(tokenizer).encode_arrow, np.array([end_id], "<u4"), "<u2" if width == 2 else "<u4"
 
         def encoded():
             for batch in batches:
                 for i in range(0, batch.num_rows, 512):
                     part = batch.slice(i, 512)
-                    for doc_id, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), strict=True):
-                        ids += end
+                    doc_ids = part.column(0).to_pylist()
+                    ends[:] = ends[0] if counts[0] else doc_ids[0], doc_ids[-1]
+                    for doc_id, ids in zip(doc_ids, encode(part.column(1)), strict=True):
                         counts[0] += 1
-                        counts[1] += len(ids) // 4
-                        yield doc_id, ids if width == 4 else np.frombuffer(ids, dtype="<u4").astype("<u2").tobytes()
+                        counts[1] += len(ids) + 1
+                        yield doc_id, np.concatenate([ids, end]).astype(kind).tobytes()
 
         rows = encoded()
         if (first := next(rows, None)) is None:
@@ -122,17 +126,20 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int =
             yield from rows
 
         size = write_file(path, shard_parts(chain(), width))
-        yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "path": [path], "n_docs": pa.array([counts[0]], pa.int64()), "n_tokens": pa.array([counts[1]], pa.int64()), "n_bytes": pa.array([size], pa.int64())})
+        yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "path": [path], "n_docs": pa.array([counts[0]], pa.int64()), "n_tokens": pa.array([counts[1]], pa.int64()), "n_bytes": pa.array([size], pa.int64()), "first_id": pa.array(ends[:1], pa.int64()), "last_id": pa.array(ends[1:], pa.int64())})
 
-    ordered = id_and_text(docs).withColumn("hash", F.xxhash64("text")).repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text")
-    ordered.drop("hash").mapInArrow(write, "shard long, path string, n_docs long, n_tokens long, n_bytes long").write.parquet(f"{folder}/manifest")
+    texts = id_and_text(docs)
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
+    ordered = texts.withColumn("hash", F.xxhash64("text")).repartitionByRange(shards, "doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text")
+    ordered.drop("hash").mapInArrow(write, "shard long, path string, n_docs long, n_tokens long, n_bytes long, first_id long, last_id long").write.parquet(f"{folder}/manifest")
     return folder
 
 
 def read_tokens(spark, folder: str, doc_ids: list[int] | None = None) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids (unsigned 32-bit bytes).
 
-    With ``doc_ids`` only those documents' frames are read and decompressed.
+    With ``doc_ids`` only those documents' frames are read and decompressed, and only shards whose range may hold them opened.
     """
     wanted = None if doc_ids is None else set(doc_ids)
 
@@ -161,6 +168,10 @@ def read_tokens(spark, folder: str, doc_ids: list[int] | None = None) -> DataFra
     # One row for each shard: the running total over shards is a small window.
     manifest = spark.read.parquet(f"{folder}/manifest")
     before = F.expr("sum(n_tokens) over (order by shard) - n_tokens")
-    shards = manifest.select("shard", "path", before.alias("before"))
+    shards = manifest.select("shard", "path", "first_id", "last_id", before.alias("before"))
     tasks = max(1, manifest.count())
+    if wanted:  # the window has seen all shards; null ids stand first
+        few = sorted(wanted) if len(wanted) <= 1000 else [min(wanted), max(wanted)]
+        reach = (F.col("last_id") >= few[0]) & (F.coalesce("first_id", F.lit(NO_ID)) <= few[-1])
+        shards = shards.filter(reach & (F.exists(F.array(*map(F.lit, few)), lambda x: x.between(F.coalesce("first_id", F.lit(NO_ID)), F.col("last_id"))) if len(wanted) <= 1000 else F.lit(True)))
     return shards.repartitionByRange(tasks, "shard").select("path", "before").mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")

@@ -111,7 +111,6 @@ def test_op1(result, docs):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     ids = [(i, t.encode(x, add_special_tokens=False).ids + [2]) for i, x, *_ in docs]
     want = Counter((i, len(a), zlib.crc32(struct.pack(f"<{len(a)}I", *a))) for i, a in ids)
     got = result("op1_token_store")
@@ -279,7 +278,6 @@ def test_op8(result, docs):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     want = Counter()
     for i, x, *_ in docs:
         a = t.encode(x, add_special_tokens=False).ids + [2]
@@ -456,13 +454,32 @@ def test_cached_encoding_equals_whole_texts(name):
     from samewise.llm.token_cache import ChunkEncoder
 
     texts = ["", " ", "~", "a ~ b~c !!! d", "a~ ~b ~~ c", "foo's ... bar?! 12.5, x", "Σας ΟΔΟΣ, é́x á!", "one two, one two. one\ntwo one, two", "end #*$ end#*$ 7, 7"]
+    texts += ["<|endoftext|>", "end <|endoftext|> done", "a<|startoftext|>b", "a.\nB.\n\nC\n.", "x" * 30 + ". " + "y" * 90, "\n.", "a\x00 a b\x00"]
+    rng = random.Random(5)
+    signs = ["a", "B", "the", "é", " ", " ", " ", "\n", "\t", ".", ",", "!", "'s", "#", "1", "~", "İ", "日本", "\u00a0", "\u2003", "…", "\u0301", "-", "(", "\r\n", "\x85"]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randrange(25))) for _ in range(600)]
     coder = ChunkEncoder(P.path(name), limit=4)
+    assert coder.kind
     for _ in range(3):
         whole = [b"".join(i.to_bytes(4, "little") for i in coder.tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
         assert coder.encode(texts) == whole
         assert [coder.encode([t])[0] for t in texts] == whole
 
 
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    import json
+
+    from samewise.llm.token_cache import ChunkEncoder
+
+    spec = json.load(open(P.path("byte_bpe_50k.json")))
+    spec["pre_tokenizer"]["use_regex"] = False  # words and spaces may then merge
+    (tmp_path / "other.json").write_text(json.dumps(spec))
+    coder = ChunkEncoder(str(tmp_path / "other.json"))
+    texts = ["one two three of the", "", "of the"]
+    assert coder.kind is None
+    assert coder.encode(texts) == [b"".join(i.to_bytes(4, "little") for i in coder.tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_cached_encoding_of_letters_that_normalize_to_marks(name):
     from samewise.llm.token_cache import ChunkEncoder
