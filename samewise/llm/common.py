@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 #: A-Z and their lower-case forms, for case folding that leaves other letters alone.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Folders named since the innermost ``scratch_removed`` began.
+_named: list[str] | None = None
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -46,16 +50,44 @@ def shared_folder(spark: SparkSession, what: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="samewise-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/samewise-{what}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/samewise-{what}-{uuid.uuid4().hex}"
+    if _named is not None:
+        _named.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_removed(spark: SparkSession):
+    """Folders named within are deleted at the end; the yielded list may be used to keep some."""
+    global _named
+    outer, _named = _named, []
+    try:
+        yield _named
+    finally:
+        own, _named = _named, outer
+        remove(spark, own)
 
 
-def saved(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: cuts the lineage and survives lost executors."""
+def saved(df: DataFrame, what: str, scratch: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    ``scratch`` gets the path, for ``remove`` once nothing reads the table any more.
+    """
     path = shared_folder(df.sparkSession, what)
     df.write.option("compression", "zstd").parquet(path)
+    if scratch is not None:
+        scratch.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that ``shared_folder`` named, and empty the list."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    paths.clear()
+
+
 def file_system(uri: str):
     """The pyarrow filesystem of a URI or plain path, and the path in it."""
     from pyarrow import fs

@@ -244,6 +244,91 @@ def test_op5_random_edits(spark):
         assert Counter(map(tuple, got)) == components(rows, k, percent)
 
 
+def linked_components(rows, k, percent):
+    """As components(), with candidates from shared shingles, for larger tables."""
+    sets = {i: shingles(x, k) for i, x in rows}
+    by, root, links = defaultdict(list), {i: i for i in sets}, 0
+    for i, s in sets.items():
+        for x in s:
+            by[x].append(i)
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, s in sets.items():
+        for b, both in Counter(j for x in s for j in by[x] if j < a).items():
+            if 100 * both >= percent * (len(s) + len(sets[b]) - both):
+                links += 1
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return Counter((i, len(s), find(i)) for i, s in sets.items()), links
+
+
+def test_op5_long_and_short_sets_at_80(spark, monkeypatch):
+    """Sizes from 5 to 5,000: equal to brute force, with few pairs and no joining by empty segments."""
+    from samewise.llm import ngram_join
+
+    rng, rows = random.Random(12), []
+    for n in [5, 9, 15, 25, 50, 59, 90, 120, 300, 453, 887, 1734, 5000] * 2:
+        text = [f"w{rng.randrange(3000)}" for _ in range(n + 4)]
+        for share in (0, 0.005, 0.01, 0.02, 0.021, 0.022, 0.023, 0.03, 0.05, 0.1):
+            copy = list(text)
+            for _ in range(round(share * n)):
+                copy[rng.randrange(len(copy))] = f"e{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(len(rows) + i, " ".join(f"u{rng.randrange(10**6)}" for _ in range(rng.choice([59, 453, 887, 1734]) + 4))) for i in range(600)]
+    pairs, near_pairs = [], ngram_join._near_pairs
+
+    def counted(first, *rest):
+        pairs.append(first.count())
+        return near_pairs(first, *rest)
+
+    monkeypatch.setattr(ngram_join, "_near_pairs", counted)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want, links = linked_components(rows, 5, 80)
+    assert Counter(map(tuple, ngram_join.similar_documents(frame, 5, 80).collect())) == want
+    assert pairs[0] < 3 * links  # unrelated documents hardly meet
+
+
+def test_op5_large_group_of_near_copies(spark):
+    """A chain of edits whose smallest member is far from most: all in one component, with pairs in proportion to the members."""
+    from samewise.llm import ngram_join
+
+    rng, text, rows = random.Random(13), [f"w{i}" for i in range(300)], []
+    for i in range(1500):
+        if i % 30 == 0:
+            text[rng.randrange(300)] = f"v{i}"
+        copy = list(text)
+        copy[rng.randrange(300)] = f"x{i}"
+        rows.append((i, " ".join(copy)))
+    rows += [(2000 + i, " ".join([f"w{j}" for j in range(100)] + [f"z{i}-{j}" for j in range(200)])) for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sketched, _, links, found = ngram_join._joined(frame, 5, 80)
+    assert links.count() < 12 * len(rows)
+    assert Counter(map(tuple, ngram_join.similar_documents(frame, 5, 80).collect())) == linked_components(rows, 5, 80)[0]
+
+
+def test_joining_pairs_are_a_forest_of_the_nearest():
+    import numpy as np
+
+    from samewise.llm.ngram_join import Bands, folded, joining_pairs
+
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 400).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[: 400 - k], rng.integers(0, 1 << 63, k).astype(np.uint64)])) for k in range(0, 60, 3)]
+    ids, n = np.arange(len(sets)), np.array([len(s) for s in sets])
+    a, b = joining_pairs(ids, ids, n, [folded(s) for s in sets], None, Bands(80), 1)
+    assert len(a) == len(sets) - 1 and (a < b).all()
+    every = joining_pairs(ids, ids, n, [folded(s) for s in sets], None, Bands(80), None)
+    want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+    assert want <= set(zip(*map(np.ndarray.tolist, every))) and len(every[0]) < 1.7 * len(want)
+    sides = ids % 2 == 0
+    a, b = joining_pairs(ids, ids, n, [folded(s) for s in sets], sides, Bands(80), 1)
+    assert len(a) == len(sets) - 1 and ((a + b) % 2 == 1).all()
+
+
 def test_op6(result, docs):
     want = Counter()
     for i, x, *_ in docs:
@@ -315,29 +400,68 @@ def test_best_fit_is_tightest():
                 free.append(window - n)
 
 
-def test_op9(result, docs):
-    from samewise.llm.backoff_lm import MU, BackoffAutomaton
+def scored(texts):
+    """n, v and functions for the base and the model's log10 probability, by plain formulas. texts: (held out, tokens)."""
+    from samewise.llm.backoff_lm import LEAST_HISTORY, MU
 
-    texts = [(i, i is not None and zlib.crc32(str(i).encode()) % 10 == 0, words(lower(x)) + [""]) for i, x, *_ in docs]
-    one, two = Counter(), Counter()
-    for _, held, w in texts:
+    one, two, three = Counter(), Counter(), Counter()
+    for held, w in texts:
         if not held:
             one.update(w)
             two.update(zip(w, w[1:]))
+            three.update(zip(w, w[1:], w[2:]))
     n, v = sum(one.values()), len(one)
-    histories = {w: c for w, c in one.items() if w}
     p1 = lambda w: (one[w] + 0.1) / (n + 0.1 * (v + 1))
-    automaton = BackoffAutomaton(one, two, histories, n, v)
+    p2 = lambda h, w: (two[h, w] + MU * p1(w)) / (one[h] + MU)
+
+    def p3(g, h, w):
+        return (three[g, h, w] + MU * p2(h, w)) / (two[g, h] + MU) if two[g, h] >= LEAST_HISTORY else p2(h, w)
+
+    base = lambda w: sum(math.log10(p1(x)) for x in w)
+    model = lambda w: math.log10(p1(w[0])) + sum(math.log10(p2(*x)) for x in zip(w[:1], w[1:2])) + sum(math.log10(p3(*x)) for x in zip(w, w[1:], w[2:]))
+    return one, n, base, model
+
+
+@pytest.mark.parametrize("block_bytes", [None, 3000])
+def test_op9(spark, folder, result, docs, block_bytes):
+    from samewise.llm.backoff_lm import score_documents
+
+    texts = [(i, i is not None and zlib.crc32(str(i).encode()) % 10 == 0, [*words(lower(x)), ""]) for i, x, *_ in docs]
+    one, n, base, model = scored([t[1:] for t in texts])
+    rows = result("op9_backoff_lm") if block_bytes is None else [r.asDict() for r in score_documents(spark.read.parquet(f"{folder}/documents.parquet"), block_bytes=block_bytes).collect()]
     got = defaultdict(list)
-    for r in result("op9_backoff_lm"):
+    for r in rows:
         got[r["doc_id"]].append(r)
+    assert len(rows) == len(texts)
     for i, held, w in texts:
-        base = sum(math.log10(p1(x)) for x in w)
-        model = math.log10(p1(w[0])) + sum(math.log10((two[h, x] + MU * p1(x)) / (one[h] + MU)) for h, x in zip(w, w[1:]))
         r = got[i][0]
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held, len(w), sum(one[x] > 0 for x in w), n)
-        assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] == pytest.approx(model, rel=1e-9)
-        assert automaton.score(w) == (pytest.approx(model, rel=1e-9), pytest.approx(base, rel=1e-9))
+        assert r["base_score"] == pytest.approx(base(w), rel=1e-9) and r["score"] == pytest.approx(model(w), rel=1e-9)
+
+
+def test_op9_repeated_rows_fill_several_blocks(spark):
+    from samewise.llm.backoff_lm import score_documents
+
+    rows = [(7, "the same words again and again")] * 500 + [(None, None), (10, "the same"), (11, "")]
+    out = score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), block_bytes=2000).collect()
+    _, _, _, model = scored([(i is not None and zlib.crc32(str(i).encode()) % 10 == 0, [*words(t or ""), ""]) for i, t in rows])
+    assert len(out) == len(rows)
+    for r in out:
+        assert r.score == pytest.approx(model([*words(dict(rows)[r.doc_id] or ""), ""]), rel=1e-9)
+
+
+def test_automaton_follows_failure_arcs():
+    import numpy as np
+
+    from samewise.llm.backoff_lm import ADD, MU, BackoffAutomaton
+
+    # Tokens 0, 1, 2; pairs 00 (seen 3 times), 01 (once), 12 (never); triples 000 (twice), 001 (never).
+    a = BackoffAutomaton([4, 2, 0], [3, 1, 0], [2, 0], [0, 0, 1], [0, 1, 2], [0, 0], [0, 1], 6, 2)
+    p = (np.array([4, 2, 0]) + ADD) / (6 + 3 * ADD)
+    p00, p01, p12 = (3 + MU * p[0]) / (4 + MU), (1 + MU * p[1]) / (4 + MU), MU / (2 + MU) * p[2]
+    steps = a.walk(np.array([0, 0, 0, 1, 2]), np.array([-1, 0, 0, 1, 2]), np.array([-1, -1, 0, 1, -1]), np.array([-1, -1, 0, 0, 1]))
+    want = [p[0], p00, (2 + MU * p00) / (3 + MU), MU / (3 + MU) * p01, p12]
+    assert np.allclose(10**steps, want)
 
 
 def plain_spans(t):
