@@ -1,21 +1,23 @@
 """Personal data: fixed patterns, then identifiers found by bootstrapped contexts.
 
-Spans of the fixed patterns are seeds. Words that hold a digit or an @, and runs of
-neighbouring words with digits, are instances; the words next to them and their shape make patterns: (left word, shape), (shape, right
-word) and (left word, right word). Patterns and instances form a bipartite graph.
+Spans of the fixed patterns are seeds with score 1. Words that hold a digit or an @, and runs of
+neighbouring words with digits, are instances; those assigned to a name such as ``token`` and long words of mixed letters and digits are
+seeds too, with score ``LIKELY``, but only patterns claim them. The words next to an instance and its shape make patterns: (left words, shape), (shape, right
+word) and (left words, right word). What a fixed pattern matched and dropped has the last one only, so its shape never speaks for it. Patterns and instances form a bipartite graph.
 Spark scores it iteratively: a pattern's confidence is the mean score of its
 instances, damped for few of them; an instance's score is the noisy-or of its patterns'
-confidences, and seeds keep 1. Then the patterns of high confidence claim
+confidences, and at least its score as a seed; instances found in a round support patterns in the next. Then the patterns of high confidence claim
 the instances that no fixed pattern knows, as kind ``id``; of nested ones the outermost counts.
 
 Only distinct (pattern, instance) pairs enter the graph and patterns are summed by partial aggregation,
 so a frequent word makes many edges but no gathered group. Offsets
 count code points; ends are exclusive. Null texts are empty. Null and repeated ids are kept: spans
-belong to a row. An empty table gives an empty result. Further columns pass through ``redact`` untouched.
+belong to a row. Equal scores need no order. Very long texts are read in one pass. An empty table gives an empty result. Further columns pass through ``redact`` untouched.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 
 from pyspark.sql import DataFrame, Window
@@ -35,9 +37,16 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 # Words with a digit or an @; possessive from the word's start on, so each word is read once.
 _WORD = re.compile(r"(?<![^\s\"'=:,;()<>\[\]{}])[^\s\"'=:,;()<>\[\]{}\d@]*+[\d@][^\s\"'=:,;()<>\[\]{}]*+")
+_ANY_WORD, _LETTER = re.compile(r"\S+"), re.compile(r"\w")
 _GAP = re.compile(r"[^\S\n]?[()\[\]]?[^\S\n]?")
 #: Every run of at most LONGEST_RUN neighbouring words is an instance, and every whole run.
 LONGEST_RUN = 6
+#: Names whose assigned values are seeds, their score, the least length of such a value and of a mixed word.
+NAMES = ("token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "api-key", "access_key", "access-key", "auth_key", "ssn")
+LIKELY, LEAST_VALUE, LEAST_MIXED = 0.9, 6, 20
+_ASSIGNED = re.compile(r"(?:^|[^a-z])(?:" + "|".join(NAMES) + r")[\"']? ?[=:] ?[\"']?$")
+#: Words before an instance that a pattern goes back over signs for; runs of one kind in a shape that is written out.
+BACK, RUNS = 3, 6
 #: Patterns need this many different seeds or instances of this score, and this confidence.
 LEAST_KNOWN, CONFIDENT, ROUNDS, DAMPING = 5, 0.6, 3, 2.0
 
@@ -64,27 +73,47 @@ def emails(text: str):
         at = text.find("@", max(at + 1, done))
 
 
-def base_spans(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) by start, then kind in the order of KINDS."""
-    spans = [(a, b, "email") for a, b in emails(text)] if "@" in text else []
+def base_matches(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int]]]:
+    """(start, end, kind) by start, then kind in the order of KINDS; and the matches that fail their test, by start."""
+    spans, dropped = [(a, b, "email") for a, b in emails(text)] if "@" in text else [], []
+
+    def add(m, kind, holds):
+        if holds:
+            spans.append((*m.span(), kind))
+        else:
+            dropped.append(m.span())
+
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.group().split(".")):
-                spans.append((*m.span(), "ip"))
+            add(m, "ip", all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.group().split(".")))
         for m in _CARD.finditer(text):
             digits = m.group().replace(" ", "").replace("-", "")
-            if 14 <= len(digits) <= 19 and luhn(digits):
-                spans.append((*m.span(), "card"))
+            if len(digits) >= 14:
+                add(m, "card", len(digits) <= 19 and luhn(digits))
         if "+" in text:
             for m in _PHONE.finditer(text):
-                if 10 <= len(_DIGIT.findall(m.group())) <= 15:
-                    spans.append((*m.span(), "phone"))
-    return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
+                add(m, "phone", 10 <= len(_DIGIT.findall(m.group())) <= 15)
+    return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]))), sorted(dropped)
+
+
+def base_spans(text: str) -> list[tuple[int, int, str]]:
+    return base_matches(text)[0]
 
 
 def shape_of(word: str) -> str:
-    """Runs of lower-case letters, upper-case letters and digits as a, A and 0; other signs as they are."""
-    return re.sub(r"[0-9]+", "0", re.sub(r"[A-Z]+", "A", re.sub(r"[a-z]+", "a", word.replace("0", "1"))))[:24]
+    """Runs of lower-case letters, upper-case letters and digits as a, A and 0; other signs as they are.
+
+    With more than RUNS such runs only their kinds, other signs and the length's order are told.
+    """
+    shape = re.sub(r"[0-9]+", "0", re.sub(r"[A-Z]+", "A", re.sub(r"[a-z]+", "a", word.replace("0", "1"))))
+    if sum(map(shape.count, "aA0")) <= RUNS and len(shape) <= 4 * RUNS:
+        return shape
+    return f"~{''.join(sorted(set(shape)))}{len(word).bit_length()}"
+
+
+def is_mixed(word: str) -> bool:
+    """A long word of ASCII letters and digits that change often, as in keys and hashes."""
+    return len(word) >= LEAST_MIXED and word.isascii() and word.isalnum() and shape_of(word).startswith("~") and not word.isdigit()
 
 
 def _opened(text: str, a: int, b: int) -> int:
@@ -93,14 +122,9 @@ def _opened(text: str, a: int, b: int) -> int:
     return a - 1 if close and close in text[a:b] else a
 
 
-def instances(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int, bool, list[str]]]:
-    """(start, end, is a seed, patterns) of each identifier-like word and each span."""
-    found, covered = [], []
-    for a, b, _ in spans:
-        if covered and a < covered[-1][1]:
-            covered[-1][1] = max(b, covered[-1][1])
-        else:
-            covered.append([a, b])
+def instances(text: str, spans: list[tuple[int, int, str]], dropped: list[tuple[int, int]] = ()) -> list[tuple[int, int, bool, float, list[str]]]:
+    """(start, end, is a span, score as a seed, patterns) of each identifier-like word or run and each span."""
+    covered = _merged((a, b) for a, b, _ in spans)
     places, runs, next_span = {(a, b): True for a, b, _ in spans}, [], 0
     for m in _WORD.finditer(text):
         a = m.start()
@@ -118,17 +142,43 @@ def instances(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, i
         for i, (a, _) in enumerate(run):
             places.update(((_opened(text, a, b), b), False) for _, b in run[i : i + LONGEST_RUN])
         places[_opened(text, run[0][0], run[-1][1]), run[-1][1]] = False
-    for (a, b), seed in sorted(places.items()):
-        left = text[max(0, a - 80) : a].split()
-        right = text[b : b + 80].split()
-        before = left[-1].lower() if left else "^"
-        if left and not re.search(r"\w", left[-1]) and len(left) > 1:
-            before = f"{left[-2].lower()} {before}"
-        after, shape = right[0].lower() if right else "$", shape_of(text[a:b])
-        found.append((a, b, seed, [f"L {before} {shape}", f"R {shape} {after}", f"B {before} {after}"]))
+    if not places:
+        return []
+    words = [m.span() for m in _ANY_WORD.finditer(text)]
+    starts, refused = [a for a, _ in words], _merged(dropped)
+    refused_ends, found = [b for _, b in refused], []
+    for (a, b), known in sorted(places.items()):
+        k = bisect.bisect_left(starts, a) - 1  # the last word that begins before a
+        left = []
+        while k >= 0 and len(left) < BACK and not any(_LETTER.search(w) for w in left):
+            left.append(text[words[k][0] : min(a, words[k][1])].lower())
+            k -= 1
+        k = bisect.bisect_right(starts, b) - 1  # the word that b is in, or else the next one
+        if k < 0 or words[k][1] <= b:
+            k += 1
+        after = text[max(b, words[k][0]) : words[k][1]].lower() if k < len(words) else "$"
+        before, word = " ".join(reversed(left)) or "^", text[a:b]
+        k = bisect.bisect_right(refused_ends, a)
+        if not known and k < len(refused) and refused[k][0] < b:
+            found.append((a, b, False, 0.0, [f"B {before} {after}"]))
+            continue
+        likely = not known and (is_mixed(word) or b - a >= LEAST_VALUE and _ASSIGNED.search(before[-40:]) is not None)
+        shape = shape_of(word)
+        found.append((a, b, known, 1.0 if known else LIKELY if likely else 0.0, [f"L {before} {shape}", f"R {shape} {after}", f"B {before} {after}"]))
     return found
 
 
+def _merged(ranges) -> list[list[int]]:
+    """Ranges in ascending order with overlapping ones as one."""
+    out: list[list[int]] = []
+    for a, b in ranges:
+        if out and a < out[-1][1]:
+            out[-1][1] = max(b, out[-1][1])
+        else:
+            out.append([a, b])
+    return out
+
+
 def _pattern_hash(pattern: str) -> int:
     import xxhash
 
@@ -140,47 +190,50 @@ def find_personal_data(rows: DataFrame, text_col: str) -> DataFrame:
     import pyarrow as pa
 
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())])
-    one = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("seed", pa.bool_()), ("instance", pa.int64()), ("patterns", pa.list_(pa.int64()))])
-    added = "_uid long, _base array<struct<start:int,end:int,kind:string>>, _seen array<struct<start:int,end:int,seed:boolean,instance:bigint,patterns:array<bigint>>>"
+    one = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("seed", pa.bool_()), ("score", pa.float64()), ("instance", pa.int64()), ("patterns", pa.list_(pa.int64()))])
+    added = "_uid long, _base array<struct<start:int,end:int,kind:string>>, _seen array<struct<start:int,end:int,seed:boolean,score:double,instance:bigint,patterns:array<bigint>>>"
 
     def find(batches):
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
+        from samewise.llm.shingles import slices
+
         uid = TaskContext.get().partitionId() << 36
-        for batch in batches:
-            base, seen = [], []
-            for text in batch.column("_text").to_pylist():
-                spans = base_spans(text)
-                base.append([dict(zip(("start", "end", "kind"), s, strict=True)) for s in spans])
-                seen.append([{"start": a, "end": b, "seed": seed, "instance": _pattern_hash(text[a:b]), "patterns": [_pattern_hash(p) for p in patterns]} for a, b, seed, patterns in instances(text, spans)])
-            row = np.arange(uid, uid + batch.num_rows)
-            uid += batch.num_rows
-            kept = [batch.column(n) for n in batch.schema.names if n != "_text"]
-            names = [n for n in batch.schema.names if n != "_text"]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(row), pa.array(base, pa.list_(span)), pa.array(seen, pa.list_(one))], names=[*names, "_uid", "_base", "_seen"])
+        for whole in batches:
+            for batch in slices(whole, "_text"):
+                base, seen = [], []
+                for text in batch.column("_text").to_pylist():
+                    spans, dropped = base_matches(text)
+                    base.append([dict(zip(("start", "end", "kind"), s, strict=True)) for s in spans])
+                    seen.append([{"start": a, "end": b, "seed": seed, "score": score, "instance": _pattern_hash(text[a:b]), "patterns": [_pattern_hash(p) for p in patterns]} for a, b, seed, score, patterns in instances(text, spans, dropped)])
+                row = np.arange(uid, uid + batch.num_rows)
+                uid += batch.num_rows
+                names = [n for n in batch.schema.names if n != "_text"]
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(row), pa.array(base, pa.list_(span)), pa.array(seen, pa.list_(one))], names=[*names, "_uid", "_base", "_seen"])
 
     schema = T.StructType([*rows.schema.fields, *T._parse_datatype_string(added).fields])
     return saved(rows.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))).mapInArrow(find, schema), "personal")
 
 
 def pattern_edges(found: DataFrame) -> DataFrame:
-    """Distinct (pattern, instance) of the whole table, with whether the instance is a seed there."""
-    seen = found.select(F.explode("_seen").alias("s")).select("s.instance", "s.seed", F.explode("s.patterns").alias("pattern"))
-    return seen.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
+    """Distinct (pattern, instance) of the whole table, with the instance's greatest score as a seed there."""
+    seen = found.select(F.explode("_seen").alias("s")).select("s.instance", "s.score", F.explode("s.patterns").alias("pattern"))
+    return seen.groupBy("pattern", "instance").agg(F.max("score").alias("seed"))
 
 
 def confident_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """pattern, confidence for the patterns trusted after ``rounds`` rounds."""
     edges = saved(edges, "edges")
-    scores = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
+    seeds = edges.groupBy("instance").agg(F.max("seed").alias("score"))
+    scores = seeds
     for _ in range(rounds):
         scored = edges.join(scores, "instance")
         patterns = scored.groupBy("pattern").agg((F.sum("score") / (F.count("*") + F.lit(DAMPING))).alias("confidence"), F.count_if(F.col("score") >= CONFIDENT).alias("known"))
         patterns = saved(patterns.filter(F.col("known") >= LEAST_KNOWN), "patterns")
         claims = edges.join(patterns, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log1p(-F.least("confidence", F.lit(0.999999)))))).alias("claim"))
-        scores = saved(edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("is_seed")).join(claims, "instance", "left").select("instance", F.greatest("is_seed", F.coalesce("claim", F.lit(0.0))).alias("score")), "scores")
+        scores = saved(seeds.join(claims, "instance", "left").select("instance", F.greatest("score", F.coalesce("claim", F.lit(0.0))).alias("score")), "scores")
     return patterns.filter(F.col("confidence") >= CONFIDENT).select("pattern", "confidence")
 
 

@@ -494,6 +494,71 @@ def test_base_spans_on_random_strings():
         assert base_spans(t) == plain_spans(t), t
 
 
+def brute_claims(texts, rounds=3):
+    """Claimed spans of each text by the same graph in plain loops."""
+    from samewise.llm.pii_bootstrap import CONFIDENT, DAMPING, LEAST_KNOWN, base_matches, instances
+
+    seen = [instances(t, *base_matches(t)) for t in texts]
+    edges, seeds = defaultdict(set), Counter()
+    for t, found in zip(texts, seen, strict=True):
+        for a, b, _, score, patterns in found:
+            seeds[t[a:b]] = max(seeds[t[a:b]], score)
+            for p in patterns:
+                edges[p].add(t[a:b])
+    scores, trusted = dict(seeds), {}
+    for _ in range(rounds):
+        trusted = {p: sum(scores[x] for x in xs) / (len(xs) + DAMPING) for p, xs in edges.items() if sum(scores[x] >= CONFIDENT for x in xs) >= LEAST_KNOWN}
+        doubt = defaultdict(lambda: 1.0)
+        for p, c in trusted.items():
+            for x in edges[p]:
+                doubt[x] *= 1 - min(c, 0.999999)
+        scores = {x: max(s, 1 - doubt[x]) if x in doubt else s for x, s in seeds.items()}
+    out = []
+    for found in seen:
+        hits = sorted({(a, -b) for a, b, known, _, patterns in found if not known and any(trusted.get(p, 0) >= CONFIDENT for p in patterns)})
+        reach, kept = -1, []
+        for a, b in hits:
+            if -b > reach:
+                kept.append((a, -b))
+            reach = max(reach, -b)
+        out.append(kept)
+    return out
+
+
+def test_op10_spans_equal_brute_force(result, docs):
+    got = defaultdict(list)
+    for r in result("op10_pii_bootstrap"):
+        got[r["doc_id"]].append(r["spans"])
+    for (i, x, *_), claimed in zip(docs, brute_claims([x for _, x, *_ in docs]), strict=True):
+        order = ["email", "ip", "card", "phone", "id"]
+        spans = sorted([*plain_spans(x), *((a, b, "id") for a, b in claimed)], key=lambda s: (s[0], order.index(s[2])))
+        assert ",".join(f"{k}:{a}:{b}" for a, b, k in spans) in got[i]
+
+
+def test_op10_finds_secrets_and_leaves_failed_cards(spark):
+    rows = {r.doc_id: r.spans for r in registry.op10_pii_bootstrap(spark, "/root/testdata/sf0.1").collect()}
+    secrets = found = added = 0
+    for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").collect():
+        places = {f"id:{m.start()}:{m.end()}" for m in re.finditer(r"(?<![0-9a-f])[0-9a-f]{40}(?![0-9a-f])", r.text or "")}
+        claimed = {x for x in rows[r.doc_id].split(",") if x.startswith("id:")}
+        secrets, found, added = secrets + len(places), found + len(places & claimed), added + len(claimed - places)
+    assert secrets > 100 and found >= 0.9 * secrets and added <= 0.02 * secrets, (secrets, found, added)
+
+
+def test_long_texts_take_one_pass():
+    import time
+
+    from samewise.llm.pii_bootstrap import base_matches, instances
+
+    for text in ("a@b.c" + "1" * 100_000, "a@b.c 1 " * 8000, "1 " * 40_000, "+1" * 30_000, "1.2.3.4." * 10_000, "x" * 200_000 + "1 " + "y" * 200_000, '"' * 100_000 + "1"):
+        began = time.process_time()
+        instances(text, *base_matches(text))
+        assert time.process_time() - began < 5, text[:20]
+    began = time.process_time()
+    instances(text := "a@b.c" + "1" * 100_000, *base_matches(text))
+    assert time.process_time() - began < 1
+
+
 def test_bootstrap_finds_unseen_identifiers(spark):
     from samewise.llm.pii_bootstrap import personal_data, redact
 
