@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 from samewise.llm import golomb
 from samewise.llm.common import ascii_lower, read_file, saved, shared_folder, write_file
 
-#: Bits of a fingerprint. A chance match only makes one more suspect.
-BITS = 48
+#: Bits of a fingerprint, of which a chance match only makes one more suspect; rows whose fingerprints an owner merges.
+BITS, OWNED = 48, 2_000_000
 
 
 def _fingerprints(texts):
@@ -47,6 +47,11 @@ def _answer_duplicates(lists, doubled):
     return [np.packbits(np.isin(x, again, assume_unique=True)).tobytes() for x in lists]
 
 
+def owners_for(docs: DataFrame) -> int:
+    """As many owners as the session has shuffle partitions, and more where an owner would get over OWNED rows."""
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // OWNED))
+
+
 def suspects(docs: DataFrame, text: str, owners: int) -> DataFrame:
     """``docs`` with ``_uid`` (unique), ``_suspect`` and ``_norm``, written to the shared folder."""
     import pyarrow as pa
@@ -141,7 +146,7 @@ def _classes(marked: DataFrame) -> DataFrame:
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owners: int | None = None) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row."""
-    owners = owners or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    owners = owners or owners_for(docs)
     marked = suspects(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text", owners).drop("_text")
     alone = marked.filter("not _suspect").select(F.col("_id").alias("doc_id"), F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("_sha").alias("text_sha256"))
     among = marked.filter("_suspect").select("_id", "_uid", "_sha")
@@ -151,7 +156,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owners: int | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    owners = owners or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    owners = owners or owners_for(docs)
     row = docs.select(F.col(id_col).alias("_id"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
     marked = suspects(row, f"_row.{text_col}", owners)
     stay = _classes(marked).select(F.col("keep._uid").alias("_uid"))

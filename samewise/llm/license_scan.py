@@ -3,7 +3,8 @@
 A notice that may have e edits is split into e + 1 seeds; by the pigeonhole
 principle one seed is in the text unchanged. An Aho-Corasick automaton finds the
 seeds, and the regex library's bounded-error matching verifies the notice in the
-stretch around each and reports its span and edits.
+stretch around each and reports its span and edits (in characters). Of finds that overlap, the one with
+the fewest edits stays; of those the longest notice, then the first in the list.
 
 Text is lower-cased (A-Z) and its words, runs of ASCII letters and digits and
 of all other characters beyond ASCII, are joined by single spaces; spans are in
@@ -13,6 +14,8 @@ and an empty table give corresponding rows; other columns are not read.
 
 from __future__ import annotations
 
+import bisect
+
 from pyspark.sql import DataFrame
 
 from samewise.llm.common import id_and_text
@@ -84,8 +87,8 @@ class Scanner:
         return found
 
     def fuzzy(self, line: bytes) -> list[tuple[str, str, int, int, int]]:
-        """(label, notice, edits, first word, last word), the best at each place."""
-        text, near = line.decode("latin-1"), {}
+        """(label, notice, edits, first word, last word), the best at each place: finds do not overlap."""
+        text, near = line.decode(), {}
         for end, (size, places) in self.seeds.iter(text):
             for i, at in places:
                 near.setdefault(i, set()).add(end + 1 - size - at)
@@ -102,7 +105,16 @@ class Scanner:
                     word += text.count(" ", counted, m.start()) if m.start() >= counted else -text.count(" ", m.start(), counted)
                     counted, done = m.start(), m.end()
                     found.append((label, notice, sum(m.fuzzy_counts), word - 1, word - 1 + m.group().count(" ")))
-        return sorted(found, key=lambda x: (x[3], x[2], x[0]))
+        rank = {n: i for i, (n, _) in enumerate(self.notices)}
+        kept: list[tuple[str, str, int, int, int]] = []
+        starts: list[int] = []
+        for x in sorted(found, key=lambda x: (x[2], -len(x[1]), rank[x[1]], x[3])):
+            k = bisect.bisect_right(starts, x[4])  # the last kept find that begins no later than this one ends
+            if not k or kept[k - 1][4] < x[3]:
+                k = bisect.bisect_left(starts, x[3])
+                starts.insert(k, x[3])
+                kept.insert(k, x)
+        return kept
 
 
 _loaded: dict[tuple, Scanner] = {}

@@ -37,7 +37,7 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")
+    return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

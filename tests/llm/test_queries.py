@@ -142,9 +142,10 @@ def test_op2_small_chunks(spark, folder, docs):
 
     from samewise.llm.bpe_stitch import encode_documents
 
-    out = encode_documents(spark.read.parquet(f"{folder}/documents.parquet"), P.path("byte_bpe_50k.tiktoken"), chunk=200, overlap=24)
-    got = out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("i"), F.sha2("decoded", 256).alias("d")).collect()
-    assert Counter(map(tuple, got)) == Counter(coded(docs))
+    for spread in (2, 64):
+        out = encode_documents(spark.read.parquet(f"{folder}/documents.parquet"), P.path("byte_bpe_50k.tiktoken"), chunk=200, overlap=24, spread=spread)
+        got = out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("i"), F.sha2("decoded", 256).alias("d")).collect()
+        assert Counter(map(tuple, got)) == Counter(coded(docs))
 
 
 def test_op3(result, docs):
@@ -346,6 +347,48 @@ def test_op6(result, docs):
     assert all(set(r["base_labels"].split(",")) <= set(r["labels"].split(",")) or not r["base_labels"] for r in got)
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_op6_labels_by_brute_force(spark):
+    """Every stretch of whole words near a notice's length, by plain edit distance; of overlapping finds the closest stays."""
+    from samewise.llm.license_scan import NOTICES, edits_of, scan_licenses
+
+    rng, rows = random.Random(8), []
+    for i in range(60):
+        text = []
+        for _ in range(rng.randrange(1, 4)):
+            text += [rng.choice(["plain", "words", "été", "x9"]) for _ in range(rng.randrange(3))]
+            notice = list(rng.choice([n for n in NOTICES if len(n) < 40]))
+            for _ in range(rng.randrange(3)):
+                notice[rng.randrange(len(notice))] = rng.choice("aéz")
+            text.append("".join(notice))
+        rows.append((i, " ".join(text)))
+    got = {r.doc_id: r for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        w = words(t)
+        hits = []
+        for notice, label in NOTICES.items():
+            size = notice.count(" ") + 1
+            for a in range(len(w)):
+                for b in range(a + max(1, size - 2), min(len(w), a + size + 2) + 1):
+                    if (e := edits(notice, " ".join(w[a:b]))) <= edits_of(notice):
+                        hits.append((e, -len(notice), a, b - 1, label))
+        taken = []
+        for e, _, a, b, label in sorted(hits):
+            if all(b < c or d < a for c, d, _ in taken):
+                taken.append((a, b, label))
+        spans = sorted((s.first_word, s.last_word) for s in got[i].spans)
+        assert all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
+        assert set(filter(None, got[i].labels.split(","))) == {x for *_, x in taken} | set(filter(None, got[i].base_labels.split(","))), (t, got[i].spans)
+
+
 def test_op7(result, docs):
     want = Counter()
     for i, x, *_ in docs:
