@@ -10,7 +10,8 @@ The weights are fitted on at most ``FIT_ROWS`` labelled rows, those with the sma
 their ids, and ``FIT_PAIRS`` pairs; the cut, features and scores cover every row. Null texts are
 empty and scored like any; rows with a null id are scored but never learned
 from. Of several labels of an id the lowest counts. Without labels of both kinds every score
-is 0.5, which accepts. An empty table gives an empty result.
+is 0.5, which accepts. Very long texts are measured whole, in memory of their own size. Repeated rows are scored alike, equal scores on
+the same side of the cut. Columns other than doc_id and text are not inputs, whatever their names; ``keep_good`` passes them on. An empty table gives an empty result.
 """
 
 from __future__ import annotations

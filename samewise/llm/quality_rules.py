@@ -8,7 +8,8 @@ the distance between quartiles, and at least ``LEAST`` above the quartile. The c
 to the measures, never to the texts.
 
 Null texts have no words and fail the base rule. A null lang or source is a group
-of its own. Null and repeated ids are kept. An empty table gives an empty result.
+of its own. Null and repeated ids are kept; equal measures meet equal cutoffs. Very long texts are measured whole, as arrays of their words in
+one row. Only doc_id, text, lang and source are read; columns of any other name are not. An empty table gives an empty result.
 """
 
 from __future__ import annotations
