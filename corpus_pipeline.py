@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, written as Parquet
 and read again as the next stage's docs.
+
+Null texts count as empty: such documents are scored, deduplicated with empty ones and packed as their end id.
+Rows with a null id are never learned from or linked as near copies, and otherwise treated like any. Of repeated rows one
+stays. Very long texts are taken whole. Equal scores fall on the same side of the cut. Further columns, whatever their names, pass through
+all stages but the last. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samewise.llm import exact_dedup, ngram_join, packing, pairwise_quality, pii_bootstrap
-from samewise.llm.common import read_table, shared_folder
+from samewise.llm.common import read_table, remove, scratch_removed, shared_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,14 +47,17 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality classifier", quality), ("exact dedup", exact_copies), ("n-gram Jaccard join", near_copies), ("PII", personal_data), ("packing", packed)]
 
-#: Fitted weights, bootstrapped patterns and packing are beyond SQL; tests compare with brute force.
+#: Fitted weights, bootstrapped patterns and packing are beyond SQL; a test predicts run()'s rows by brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """The last stage's rows; a stage's scratch and the stage before go once it is written."""
+    docs, last = read_table(spark, sf_dir, "documents"), []
     for i, (_, stage) in enumerate(STAGES):
         path = shared_folder(spark, f"stage{i}")
-        stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_removed(spark):
+            stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
+        remove(spark, last)
+        docs, last = spark.read.parquet(path), [path]
     return docs
