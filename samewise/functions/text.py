@@ -1,14 +1,16 @@
-"""Text normalization as Column expressions; only NFKC and postal codes need Arrow functions."""
+"""Text normalization as Column expressions; only NFKC needs an Arrow function, and only for rows it may change."""
 
 from __future__ import annotations
 
-import re
+from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Quotes that become an apostrophe, quotes that become a space.
 APOSTROPHES, QUOTES = "‘’ʼ`´", "“”\""
+#: Characters beyond ASCII and the composed Latin letters, none of which NFKC leaves alone for sure.
+COMPOSED = "[^\\x00-\\x7FÀ-ÖØ-öø-ÿ]"
 INVISIBLE = "[​-‏﻿]"
 LEGAL_FORMS = ("inc", "llc", "ltd", "company", "corporation", "corp")
 _SPACE = "(?U)[\\s\\x1c-\\x1f]"
@@ -26,9 +28,23 @@ def nfkc(c: Column) -> Column:
     return F.pandas_udf(_nfkc, "string")(c)
 
 
+def by_form(df: DataFrame, columns: list[str], f: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
+    """``f(rows, whether to compose)`` on rows whose texts NFKC may change and on the others, which need no Python."""
+    may = F.lit(False)
+    for c in columns:
+        may = may | F.coalesce(F.col(c).cast("string"), F.lit("")).rlike(COMPOSED)
+    return f(df.filter(~may), False).unionByName(f(df.filter(may), True))
+
+
+def stripped(c: Column) -> Column:
+    """Without white space of any kind at its ends."""
+    return F.regexp_replace(c, f"^{_SPACE}+|{_SPACE}+$", "")
+
+
 def safe_string(c: Column) -> Column:
-    """Trimmed text; null becomes empty."""
-    return F.trim(F.coalesce(c.cast("string"), F.lit("")))
+    """Text without white space at its ends; null and NaN become empty."""
+    text = stripped(F.coalesce(c.cast("string"), F.lit("")))
+    return F.when(text == "NaN", "").otherwise(text)
 
 
 def _folded(c: Column, unicode_form: bool) -> Column:
@@ -90,41 +106,24 @@ def last_pin(c: Column) -> Column:
     return F.try_element_at(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit("(?<![\\p{L}\\p{N}_])\\p{Nd}{5,6}(?![\\p{L}\\p{N}_])"), F.lit(0)), F.lit(-1))
 
 
-#: Words that mark a number as a postal code, or as something else.
-_KEYWORD = re.compile(r"\b(?:pin|pincode|pin\s*code|zip|zipcode|zip\s*code|postal\s*code|code\s*postal)\s*[:\-#]?\s*([0-9]{5,6})\b", re.I)
-_TAIL = r"\s*(?:no\.?|#)?\s*[:\-]?\s*$"
-_NOT_SIX = re.compile(r"\b(?:flat|plot|survey|sy|house|h\.no|po\s*box|road|rd|highway|hwy|route|rt)" + _TAIL, re.I)
-_NOT_FIVE = re.compile(r"\b(?:po\s*box|box|suite|ste|unit|apt|apartment|fl|floor|room|rm|plot|flat)" + _TAIL, re.I)
-_ROAD = re.compile(r"(?:\d+\s+)?(?:rd|road|hwy|highway|street|st|ave|blvd|lane|ct)\b")
-_STREET = re.compile(r"[a-z0-9\-]+\s+(?:rd|road|st|street|ave|avenue|blvd|boulevard|lane|ln|drive|dr|way|court|ct|trail|highway|hwy|circle|cir|terrace|ter)\b")
-_SIX, _FIVE = re.compile(r"\b[1-9][0-9]{5}\b"), re.compile(r"\b([0-9]{5})(?:-[0-9]{4})?\b")
-
-
-def find_postal_code(text: str | None) -> str | None:
-    """A code after a keyword, else the last plausible six-digit, else the last plausible five-digit number."""
-    text = (text or "").strip()
-    if m := _KEYWORD.search(text):
-        return m.group(1)
-
-    def around(m):
-        return text[: m.start()].strip(), text[m.end() :].strip().lower()
-
-    def six(m):
-        before, after = around(m)
-        return not _NOT_SIX.search(before) and (m.start() > 0 or not _ROAD.match(after))
-
-    def five(m):
-        before, after = around(m)
-        return m.start() > 0 and not _NOT_FIVE.search(before) and not _STREET.match(after)
-
-    sixes = [m.group() for m in _SIX.finditer(text) if six(m)]
-    fives = [] if sixes else [m.group(1) for m in _FIVE.finditer(text) if five(m)]
-    return next(reversed(sixes or fives), None)
-
-
-def _postal_codes(texts):
-    return texts.map(find_postal_code)
+#: Words that mark a number as a postal code, or as something else, and streets that a number may belong to.
+CODE_WORDS = "pin|pincode|pin ?code|zip|zipcode|zip ?code|postal ?code|code ?postal"
+NOT_SIX = "flat|plot|survey|sy|house|h\\.no|po ?box|road|rd|highway|hwy|route|rt"
+NOT_FIVE = "po ?box|box|suite|ste|unit|apt|apartment|fl|floor|room|rm|plot|flat"
+ROADS = "rd|road|hwy|highway|street|st|ave|blvd|lane|ct"
+STREETS = "rd|road|st|street|ave|avenue|blvd|boulevard|lane|ln|drive|dr|way|court|ct|trail|highway|hwy|circle|cir|terrace|ter"
 
 
 def postal_code(c: Column) -> Column:
-    return F.pandas_udf(_postal_codes, "string")(c)
+    """A code after a keyword, else the last plausible six-digit, else the last plausible five-digit number; null if none.
+
+    What stands before and after a number is looked at by bounded look-around, which white space as single spaces allows.
+    """
+    text = stripped(F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), f"{_SPACE}+", " "))
+    number = " ?(?:no\\.?|#)? ?[:\\-]? ?"
+    keyword = f"(?iU)\\b(?:{CODE_WORDS}) ?[:\\-#]? ?([0-9]{{5,6}})\\b"
+    six = f"(?iU)(?<!\\b(?:{NOT_SIX}){number})(?!^[0-9]{{6}} ?(?:\\d+ )?(?:{ROADS})\\b)\\b[1-9][0-9]{{5}}\\b"
+    five = f"(?iU)(?<!\\b(?:{NOT_FIVE}){number})(?!^)\\b(?>([0-9]{{5}})(?:-[0-9]{{4}})?\\b)(?! ?[a-z0-9\\-]+ (?:{STREETS})\\b)"
+    last = lambda pattern, group: F.try_element_at(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.lit(-1))
+    first = F.regexp_extract(text, keyword, 1)
+    return F.coalesce(F.when(first != "", first), last(six, 0), last(five, 1))

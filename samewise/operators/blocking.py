@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from samewise.functions.text import address_key, normalize_name
+from samewise.functions.text import address_key, by_form, normalize_name
 from samewise.sources.tables import read_records, to_wide, write_tsv
 
 
 def blocking_keys(records: DataFrame, unicode_form: bool = True) -> DataFrame:
     """entity_id, key; prefixes keep name and address keys apart, empty keys are dropped."""
-    both = records.filter("entity_id <> ''").select("entity_id", normalize_name(F.col("business_name"), unicode_form).alias("n"), address_key(F.col("business_address"), unicode_form).alias("a"))
+    both = by_form(records.filter("entity_id <> ''"), ["business_name", "business_address"], lambda rows, may: rows.select("entity_id", normalize_name(F.col("business_name"), unicode_form and may).alias("n"), address_key(F.col("business_address"), unicode_form and may).alias("a")))
     keys = F.array(F.when(F.col("n") != "", F.concat(F.lit("name:"), "n")), F.when(F.col("a") != "", F.concat(F.lit("address:"), "a")))
     return both.select("entity_id", F.explode(F.filter(keys, lambda k: k.isNotNull())).alias("key"))
 
@@ -19,7 +19,7 @@ def blocking_keys(records: DataFrame, unicode_form: bool = True) -> DataFrame:
 def candidate_pairs(source1: DataFrame, others: DataFrame, unicode_form: bool = True, max_block_size: int | None = None) -> DataFrame:
     """Distinct pairs that share a key. One shuffle by key on each side, then a two-phase distinct.
 
-    Blocks are not capped unless ``max_block_size`` is given. Skewed keys are left to AQE's skew join.
+    Blocks are not capped unless ``max_block_size`` is given, which drops the pairs of larger blocks. Skewed keys are left to AQE's skew join.
     """
     left = blocking_keys(source1, unicode_form).withColumnRenamed("entity_id", "source1_entity_id")
     right = blocking_keys(others, unicode_form).distinct().withColumnRenamed("entity_id", "candidate_entity_id")
@@ -29,10 +29,11 @@ def candidate_pairs(source1: DataFrame, others: DataFrame, unicode_form: bool =
 
 
 def run_blocking(spark, source1: str, source2: str, source3: str, out: str) -> int:
-    """Read, block, write the sorted long pair file; returns the number of pairs."""
+    """Read, block, write the sorted long pair file; returns the number of pairs, counted as they are written."""
     pairs = candidate_pairs(read_records(spark, source1), read_records(spark, [source2, source3])).orderBy("source1_entity_id", "candidate_entity_id")
-    write_tsv(pairs.toDF("source1_id", "candidate_id"), out)
-    return spark.read.option("sep", "\t").option("header", True).csv(out).count()
+    seen = Observation("blocking")
+    write_tsv(pairs.toDF("source1_id", "candidate_id").observe(seen, F.count("*").alias("pairs")), out)
+    return seen.get["pairs"]
 
 
 def candidate_lists(pairs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samewise.functions import similarity as sim
-from samewise.functions.text import last_pin
+from samewise.functions.text import last_pin, safe_string
 
 NEEDED = ("source1_entity_id", "candidate_entity_id", "score", "prediction", "ground_truth_label")
 
@@ -16,41 +16,42 @@ def error_type() -> Column:
     return F.when((p == 1) & (t == 0), "FP").when((p == 0) & (t == 1), "FN").otherwise("correct")
 
 
-def false_positive_category(n1: Column, n2: Column, a1: Column, a2: Column, c1: Column, c2: Column) -> Column:
+def false_positive_category(n1: Column, n2: Column, a1: Column, a2: Column, c1: Column, c2: Column, name: Column, address: Column) -> Column:
+    """``name`` and ``address``: ratios of the lower-cased texts."""
     low = F.lower
     return (
         F.when((c1 != "") & (c2 != "") & (low(c1) != low(c2)), "country_mismatch")
-        .when(sim.indel_ratio(low(n1), low(n2)) > 80, "similar_name")
-        .when((a1 != "") & (a2 != "") & (sim.indel_ratio(low(a1), low(a2)) > 90), "same_address")
+        .when(name > 80, "similar_name")
+        .when((a1 != "") & (a2 != "") & (address > 90), "same_address")
         .when((n1 != "") & (n2 != "") & ((F.length(n1) < 5) | (F.length(n2) < 5)), "common_or_short_name")
         .otherwise("other")
     )
 
 
-def false_negative_category(n1: Column, n2: Column, a1: Column, a2: Column) -> Column:
+def false_negative_category(n1: Column, n2: Column, a1: Column, a2: Column, name: Column, ordered: Column) -> Column:
+    """``name``, ``ordered``: ratios of the lower-cased names, as they are and with sorted words."""
     x, y = F.lower(n1), F.lower(n2)
     s, t = sim.tokens(x), sim.tokens(y)
     within = (F.size(F.array_except(s, t)) == 0) | (F.size(F.array_except(t, s)) == 0)
-    ratio = sim.indel_ratio(x, y)
     one_pin = last_pin(a1).isNull() != last_pin(a2).isNull()
     p, q = F.lower(a1), F.lower(a2)
     part = (p.contains(q) | q.contains(p)) & (F.abs(F.length(p) - F.length(q)) > 5)
     return (
         F.when((n1 == "") | (n2 == "") | (a1 == "") | (a2 == ""), "missing_field")
         .when((F.size(s) != F.size(t)) & within, "abbreviation")
-        .when((sim.token_sort_ratio(x, y) > 85) & (ratio < 85), "spelling_variation")
+        .when((ordered > 85) & (name < 85), "spelling_variation")
         .when(one_pin, "missing_pin")
         .when(part, "partial_address")
-        .when(ratio > 70, "transliteration")
+        .when(name > 70, "transliteration")
         .otherwise("other")
     )
 
 
 def error_cases(predictions: DataFrame, records: DataFrame) -> DataFrame:
-    """Predictions with both records, error_type, category and similarities."""
+    """Predictions with both records, error_type, category and, for errors, similarities."""
     if missing := set(NEEDED) - set(predictions.columns):
         raise ValueError(f"predictions lack {sorted(missing)}")
-    text = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))).alias(c)
+    text = lambda c: safe_string(F.col(c)).alias(c)
     clean = records.select("entity_id", *map(text, ("business_name", "business_address", "country")))
     out = predictions.select(*NEEDED)
     for i, key in ((1, NEEDED[0]), (2, NEEDED[1])):
@@ -58,8 +59,12 @@ def error_cases(predictions: DataFrame, records: DataFrame) -> DataFrame:
     fields = [f"{k}{i}" for i in (1, 2) for k in ("name", "address", "country")]
     out = out.select(*NEEDED, *(F.coalesce(c, F.lit("")).alias(c) for c in fields)).withColumn("error_type", error_type())
     n1, a1, c1, n2, a2, c2 = map(F.col, fields)
-    kind = F.when(F.col("error_type") == "FP", false_positive_category(n1, n2, a1, a2, c1, c2)).when(F.col("error_type") == "FN", false_negative_category(n1, n2, a1, a2)).otherwise("N/A")
-    return out.select("*", kind.alias("category"), sim.indel_ratio(F.lower(n1), F.lower(n2)).alias("name_similarity"), sim.indel_ratio(F.lower(a1), F.lower(a2)).alias("address_similarity"), (c1 == c2).alias("country_match"))
+    wrong = F.col("error_type") != "correct"
+    only = lambda x: F.when(wrong, F.lower(x))  # noqa: E731  correct pairs cost no comparison
+    out = out.withColumns({"_name": sim.indel_ratio(only(n1), only(n2)), "_address": sim.indel_ratio(only(a1), only(a2)), "_sorted": sim.token_sort_ratio(only(n1), only(n2))})
+    name, address, ordered = F.col("_name"), F.col("_address"), F.col("_sorted")
+    kind = F.when(F.col("error_type") == "FP", false_positive_category(n1, n2, a1, a2, c1, c2, name, address)).when(F.col("error_type") == "FN", false_negative_category(n1, n2, a1, a2, name, ordered)).otherwise("N/A")
+    return out.select(*NEEDED, *fields, "error_type", kind.alias("category"), F.when(wrong, name).alias("name_similarity"), F.when(wrong, address).alias("address_similarity"), (c1 == c2).alias("country_match"))
 
 
 def error_rates(cases: DataFrame) -> DataFrame:

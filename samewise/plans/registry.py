@@ -11,6 +11,7 @@ from samewise.functions import similarity as sim
 from samewise.functions import text as tx
 from samewise.operators import blocking, errors, features, metrics, profiling, submission, tfidf, training
 from samewise.sources import tables
+from samewise.sources.scratch import stored
 
 S1, CAND = "source1_entity_id", "candidate_entity_id"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,12 +142,12 @@ def _r6(df: DataFrame) -> DataFrame:
 
 @_query("SELECT entity_id, name FROM n2", "n2")
 def normalize_name(d):
-    return d.r.select("entity_id", tx.normalize_name(F.col("business_name")).alias("name"))
+    return tx.by_form(d.r, ["business_name"], lambda rows, may: rows.select("entity_id", tx.normalize_name(F.col("business_name"), may).alias("name")))
 
 
 @_query("SELECT entity_id, addr FROM n3", "n3")
 def normalize_address(d):
-    return d.r.select("entity_id", tx.normalize_address(F.col("business_address")).alias("addr"))
+    return tx.by_form(d.r, ["business_address"], lambda rows, may: rows.select("entity_id", tx.normalize_address(F.col("business_address"), may).alias("addr")))
 
 
 @_query()
@@ -259,15 +260,15 @@ def tfidf_vocabulary(d):
 
 @_query(f"SELECT {_IDS}round(coalesce(s, 0.0), 6) AS cosine FROM cand LEFT JOIN (SELECT {_IDS}sum(a.w * b.w) AS s FROM cand JOIN wt a ON a.id = {S1} JOIN wt b ON b.id = {CAND} AND a.term = b.term GROUP BY 1, 2) USING ({S1}, {CAND})", "cand", "wt")
 def tfidf_cosine(d):
-    texts = _name_texts(d, d.cand)
-    w = tfidf.weights(texts, tfidf.vocabulary(texts))
-    return _r6(tfidf.cosines(d.cand, w, w))
+    pairs = stored(d.cand)
+    texts = stored(_name_texts(d, pairs))
+    rows = tfidf.vectors(texts, stored(tfidf.vocabulary(texts)))
+    return _r6(tfidf.cosines(pairs, rows, rows))
 
 
 @_query()
 def pair_features(d):
-    pairs = d.cand
-    return features.pair_features(pairs, d.s1, d.others, features.fit_vocabularies(d.s1, d.others, pairs))
+    return features.fit_transform(d.cand, d.s1, d.others)[0]
 
 
 @_query(f"SELECT {S1}, tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f0_5, 6) AS f0_5 FROM e", "e")
@@ -435,17 +436,15 @@ def gt_id_sets(d):
     return profiling.id_set_difference(d.universe, d.truth, S1, S1)
 
 
-@_query("SELECT DISTINCT country FROM r WHERE entity_id NOT LIKE 'S1%' AND country NOT IN (SELECT country FROM r WHERE entity_id LIKE 'S1%' AND country <> 'es')", "r")
+@_query("SELECT DISTINCT country FROM r WHERE entity_id NOT LIKE 'S1%' AND country NOT IN (SELECT country FROM r WHERE entity_id LIKE 'S1%')", "r")
 def country_set_diff(d):
-    return profiling.new_values(d.s1.filter("country <> 'es'"), d.others, "country")
+    return profiling.new_values(d.s1, d.others, "country")
 
 
 @_query()
 def model_scores(d):
-    pairs = d.cand
-    vocabularies = features.fit_vocabularies(d.s1, d.others, pairs)
-    x = training.label_pairs(features.pair_features(pairs, d.s1, d.others, vocabularies), d.universe, d.truth)
-    split = training.grouped_split(pairs, 0.8, 42)
-    parts = x.join(split, [S1, CAND]).persist()
+    pairs = stored(d.cand)
+    x = training.label_pairs(features.fit_transform(pairs, d.s1, d.others)[0], d.universe, d.truth)
+    parts = stored(x.join(training.grouped_split(pairs, 0.8, 42), [S1, CAND]))
     model = training.fit_classifier(parts.filter("split = 'train'"), features.FEATURES, "logistic")
     return training.score(model, parts).select(S1, CAND, "label", "split", "score", "prediction")

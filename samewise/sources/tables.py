@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from samewise.functions.text import stripped
+
 RECORD = "entity_id string, business_name string, business_address string, country string"
 TRUTH = "source1_entity_id string, matched_entity_ids string"
 PAIR = "source1_entity_id string, candidate_entity_id string"
@@ -36,8 +38,8 @@ def truth_lists(wide: DataFrame, keep: DataFrame | None = None) -> DataFrame:
     missing = {"source1_entity_id", "matched_entity_ids"} - set(wide.columns)
     if missing:
         raise ValueError(f"ground truth lacks {sorted(missing)}")
-    ids = F.array_distinct(F.filter(F.transform(F.split(F.coalesce("matched_entity_ids", F.lit("")), ","), lambda x: F.trim(x)), lambda x: (x != "") & (x != "nan")))
-    out = wide.select(F.trim("source1_entity_id").alias("source1_entity_id"), ids.alias("ids"))
+    ids = F.array_distinct(F.filter(F.transform(F.split(F.coalesce("matched_entity_ids", F.lit("")), ","), stripped), lambda x: (x != "") & (x != "nan")))
+    out = wide.select(stripped(F.col("source1_entity_id")).alias("source1_entity_id"), ids.alias("ids"))
     return out if keep is None else out.join(keep.select("source1_entity_id").distinct(), "source1_entity_id", "left_semi")
 
 
