@@ -42,9 +42,8 @@ def stripped(c: Column) -> Column:
 
 
 def safe_string(c: Column) -> Column:
-    """Text without white space at its ends; null and NaN become empty."""
-    text = stripped(F.coalesce(c.cast("string"), F.lit("")))
-    return F.when(text == "NaN", "").otherwise(text)
+    """Text without white space at its ends; null becomes empty, as the typed reader makes of NaN and other such cells."""
+    return stripped(F.coalesce(c.cast("string"), F.lit("")))
 
 
 def _folded(c: Column, unicode_form: bool) -> Column:

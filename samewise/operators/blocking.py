@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from samewise.functions.text import address_key, by_form, normalize_name
+from samewise.sources.scratch import stored
 from samewise.sources.tables import read_records, to_wide, write_tsv
 
 
@@ -29,11 +30,10 @@ def candidate_pairs(source1: DataFrame, others: DataFrame, unicode_form: bool =
 
 
 def run_blocking(spark, source1: str, source2: str, source3: str, out: str) -> int:
-    """Read, block, write the sorted long pair file; returns the number of pairs, counted as they are written."""
-    pairs = candidate_pairs(read_records(spark, source1), read_records(spark, [source2, source3])).orderBy("source1_entity_id", "candidate_entity_id")
-    seen = Observation("blocking")
-    write_tsv(pairs.toDF("source1_id", "candidate_id").observe(seen, F.count("*").alias("pairs")), out)
-    return seen.get["pairs"]
+    """Read, block, write the sorted long pair file; returns the number of pairs."""
+    pairs = stored(candidate_pairs(read_records(spark, source1), read_records(spark, [source2, source3])))
+    write_tsv(pairs.orderBy("source1_entity_id", "candidate_entity_id").toDF("source1_id", "candidate_id"), out)
+    return pairs.count()
 
 
 def candidate_lists(pairs: DataFrame) -> DataFrame:

@@ -79,10 +79,13 @@ def category_counts(cases: DataFrame) -> DataFrame:
 
 
 def report(cases: DataFrame, examples: int = 5) -> str:
-    """A short text: rates, categories and the first examples."""
-    rates = error_rates(cases).first()
-    lines = [f"{k}: {v}" for k, v in rates.asDict().items()]
-    lines += [f"{r.error_type} {r.category}: {r.n}" for r in category_counts(cases).collect()]
-    shown = cases.filter("error_type <> 'correct'").orderBy("error_type", *NEEDED[:2]).limit(examples)
-    lines += [f"{r.error_type} {r.category} {r[0]} {r[1]} {r.score:.4f}" for r in shown.collect()]
+    """Rates, categories by frequency and the first wrong pairs with their names."""
+    r = error_rates(cases).first()
+    counts = category_counts(cases).collect()
+    lines = ["Errors", f"pairs: {r.pairs}", f"false positives: {r.false_positives} ({r.fp_rate:.4f})", f"false negatives: {r.false_negatives} ({r.fn_rate:.4f})"]
+    for kind, title in (("FP", "false positives"), ("FN", "false negatives")):
+        lines += ["", f"Categories of {title}:", *(f"  {c.category}: {c.n}" for c in counts if c.error_type == kind)]
+    lines += ["", "Examples:"]
+    for c in cases.filter("error_type <> 'correct'").orderBy("error_type", *NEEDED[:2]).limit(examples).collect():
+        lines += [f"  {c.error_type} {c.category} {c[0]} {c[1]} {c.score:.4f}", f"    {c.name1} | {c.name2}"]
     return "\n".join(lines)

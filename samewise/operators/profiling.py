@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 S1, CAND = "source1_entity_id", "candidate_entity_id"
@@ -70,3 +70,21 @@ def coverage(records: DataFrame, truth: DataFrame) -> DataFrame:
 def new_values(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
     """Values of ``column`` in b that a lacks."""
     return b.select(column).distinct().join(a.select(column).distinct(), column, "left_anti")
+
+
+def table_sizes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """name, rows, columns and bytes of Parquet tables, by name."""
+    out = None
+    for name, path in paths.items():
+        df, target = spark.read.parquet(path), spark._jvm.org.apache.hadoop.fs.Path(path)
+        size = target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+        row = df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows", F.lit(len(df.columns)).cast("long").alias("columns"), F.lit(size).cast("long").alias("bytes"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def match_stats(universe: DataFrame, truth: DataFrame) -> DataFrame:
+    """Entities, singletons and their share, pairs, mean, median and most matches of an entity."""
+    per = universe.select(S1).join(truth, S1, "left").groupBy(S1).agg(F.count(CAND).alias("n"))
+    single = F.count_if(F.col("n") == 0)
+    return per.agg(F.count("*").alias("entities"), single.alias("singletons"), (single / F.greatest(F.count("*"), F.lit(1))).alias("singleton_share"), F.sum("n").alias("pairs"), F.avg("n").alias("mean_matches"), F.percentile("n", F.lit(0.5)).alias("median_matches"), F.max("n").alias("max_matches"))

@@ -17,9 +17,31 @@ def label_pairs(pairs: DataFrame, universe: DataFrame, truth: DataFrame) -> Data
     return pairs.join(t, [S1, CAND], "left").withColumn("label", F.col("t").isNotNull().cast("int")).drop("t")
 
 
-def check_pairs(labelled: DataFrame) -> None:
-    if {S1, CAND} - set(labelled.columns):
+def check_pair_ids(pairs: DataFrame) -> None:
+    """Pairs have both id columns and at least one row."""
+    if {S1, CAND} - set(pairs.columns):
         raise ValueError("pairs lack id columns")
+    if pairs.isEmpty():
+        raise ValueError("no pairs")
+
+
+def check_split(parts: DataFrame) -> None:
+    """Both parts have rows and share no source id."""
+    n, fit, both = parts.groupBy(S1).agg(F.countDistinct("split").alias("k"), F.max("split").alias("s")).agg(F.count("*"), F.count_if(F.col("s") == "train"), F.count_if(F.col("k") > 1)).first()
+    if both:
+        raise ValueError("source ids are in both parts of the split")
+    if not fit or fit == n:
+        raise ValueError("empty train or validation split")
+
+
+def check_columns(df: DataFrame, columns: list[str]) -> None:
+    """The ids and then the features, in order."""
+    if df.columns != [S1, CAND, *columns]:
+        raise ValueError("feature columns differ from the expected ones")
+
+
+def check_pairs(labelled: DataFrame) -> None:
+    check_pair_ids(labelled)
     n, different, low, high = labelled.agg(F.count("*"), F.countDistinct(S1, CAND), F.min("label"), F.max("label")).first()
     if not n or n != different or low == high:
         raise ValueError("no pairs" if not n else "duplicate pairs" if n != different else "only one class")
@@ -154,7 +176,7 @@ def score(model, features: DataFrame) -> DataFrame:
     return out.drop("features", "rawPrediction", "probability").withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
 
 
-def experiment_record(spark, name: str, features: DataFrame, metrics: dict) -> DataFrame:
-    """One row describing a fit, for an append-only log."""
-    row = {"model": name, "n_features": len(features.columns) - 2} | {k: float(v) for k, v in metrics.items()}
-    return spark.createDataFrame([row]).withColumn("logged_at", F.current_timestamp())
+def experiment_record(spark, record: dict) -> DataFrame:
+    """One row describing a fit, for an append-only log; columns in the record's order."""
+    kinds = {str: "string", int: "long", float: "double"}
+    return spark.createDataFrame([tuple(record.values())], ", ".join(f"{k} {kinds[type(v)]}" for k, v in record.items()))

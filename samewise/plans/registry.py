@@ -202,9 +202,9 @@ def lev_similarity(d):
     return _r6(d.enriched.select(S1, CAND, sim.levenshtein_similarity(F.col("a_name_n"), F.col("b_name_n")).alias("similarity")))
 
 
-@_query(f"SELECT {_IDS}round(jaro_winkler_similarity(a, b), 6) AS similarity FROM p WHERE a <> '' AND b <> ''", "p")
+@_query(f"SELECT {_IDS}round(CASE WHEN a = '' OR b = '' THEN (a = b)::INT::DOUBLE ELSE jaro_winkler_similarity(a, b) END, 6) AS similarity FROM p", "p")
 def jaro_winkler(d):
-    return _r6(d.enriched.filter("a_name_n <> '' and b_name_n <> ''").select(S1, CAND, sim.jaro_winkler(F.col("a_name_n"), F.col("b_name_n")).alias("similarity")))
+    return _r6(d.enriched.select(S1, CAND, sim.jaro_winkler(F.col("a_name_n"), F.col("b_name_n")).alias("similarity")))
 
 
 @_query(f"SELECT {_IDS}round(score, 6) AS similarity FROM scored", "scored")
@@ -228,9 +228,10 @@ def missing_flags(d):
     return d.enriched.select(S1, CAND, (F.col("a_name") == "").alias("a_missing"), (F.col("b_name") == "").alias("b_missing"), (F.col("a_country") == "").alias("a_country_missing"))
 
 
-@_query(f"SELECT {_IDS}CASE WHEN {CAND} LIKE '%S2%' THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS indicator FROM cand", "cand")
+@_query(f"SELECT {_IDS}CASE WHEN {CAND} LIKE '%S2%' OR {CAND} LIKE '2%' THEN 1.0::DOUBLE WHEN {CAND} LIKE '%S3%' OR {CAND} LIKE '3%' THEN 2.0::DOUBLE ELSE 0.0::DOUBLE END AS indicator FROM (SELECT * FROM cand UNION SELECT {S1}, {S1} FROM cand)", "cand")
 def source_indicator(d):
-    return d.cand.select(S1, CAND, features.source_indicator(F.col(CAND)).alias("indicator"))
+    other = d.cand.select(S1, F.col(S1).alias(CAND)).distinct()  # ids of neither source
+    return d.cand.unionByName(other).select(S1, CAND, features.source_indicator(F.col(CAND)).alias("indicator"))
 
 
 @_query(f"SELECT {_IDS}lower(coalesce(c1, '')) = lower(coalesce(c2, '')) AND coalesce(c1, '') <> '' AS same FROM p", "p")
@@ -243,8 +244,31 @@ def _ratio(kernel):
     return lambda d: _r6(d.enriched.select(S1, CAND, kernel(F.col("a_name_n"), F.col("b_name_n")).alias("ratio")))
 
 
-for _name, _kernel in (("indel_ratio", sim.indel_ratio), ("token_sort_ratio", sim.token_sort_ratio), ("token_set_ratio", sim.token_set_ratio)):
+def _lcs_sql(pairs: str, extra: str = "") -> str:
+    """lcs(s, t, n): common subsequences of the distinct (s, t) of ``pairs``, a row of the table for each character of s."""
+    step = "list_transform(range(1, len(row) + 1), lambda j: greatest(row[j], CASE WHEN substr(t, j::INT, 1) = substr(s, i, 1) THEN 1 + CASE WHEN j > 1 THEN row[j - 1] ELSE 0 END ELSE 0 END))"
+    return f"""WITH RECURSIVE st AS (SELECT DISTINCT s, t FROM ({pairs})),
+      steps AS (SELECT s, t, 1 AS i, list_transform(range(0, length(t)), lambda j: 0::BIGINT) AS row FROM st
+        UNION ALL SELECT s, t, i + 1, list_transform(range(1, len(c) + 1), lambda j: list_max(c[1:j])) FROM (SELECT s, t, i, {step} AS c FROM steps WHERE i <= length(s))),
+      lcs AS (SELECT s, t, CASE WHEN s = t THEN 100.0 ELSE 200.0 * coalesce(list_max(row), 0) / (length(s) + length(t)) END AS ratio FROM steps WHERE i = length(s) + 1){extra}
+      """
+
+
+_SORTED = "array_to_string(list_sort(list_filter(string_split({}, ' '), lambda w: w <> '')), ' ')"
+_SETS = f"""(SELECT {S1}, {CAND}, list_sort(list_intersect(u, v)) AS shared, list_sort(list_filter(u, lambda w: NOT list_contains(v, w))) AS du, list_sort(list_filter(v, lambda w: NOT list_contains(u, w))) AS dv, len(u) AS nu, len(v) AS nv
+    FROM (SELECT {S1}, {CAND}, {_TOKENS.format("a")} AS u, {_TOKENS.format("b")} AS v FROM p))"""
+_SIDES = f"(SELECT *, array_to_string(shared, ' ') AS c, array_to_string(list_concat(shared, du), ' ') AS x, array_to_string(list_concat(shared, dv), ' ') AS y FROM {_SETS})"
+for _name, _kernel, _text in (("indel_ratio", sim.indel_ratio, "{}"), ("token_sort_ratio", sim.token_sort_ratio, _SORTED)):
     QUERIES[_name] = lambda spark, sf_dir, f=_ratio(_kernel): f(_Data(spark, sf_dir))
+    _s, _t = _text.format("a"), _text.format("b")
+    ORACLE_SQL[_name] = _sql(f"SELECT {_IDS}round(ratio, 6) AS ratio FROM p JOIN ({_lcs_sql(f'SELECT {_s} AS s, {_t} AS t FROM p')} SELECT * FROM lcs) l ON l.s = {_s} AND l.t = {_t}", "p")
+QUERIES["token_set_ratio"] = lambda spark, sf_dir, f=_ratio(sim.token_set_ratio): f(_Data(spark, sf_dir))
+ORACLE_SQL["token_set_ratio"] = _sql(
+    f"""SELECT {_IDS}round(CASE WHEN nu = 0 OR nv = 0 THEN 0.0 WHEN len(shared) > 0 AND (len(du) = 0 OR len(dv) = 0) THEN 100.0
+          WHEN len(shared) > 0 THEN greatest(k.ratio, l.ratio, m.ratio) ELSE k.ratio END, 6) AS ratio
+        FROM {_SIDES} q LEFT JOIN ratios k ON k.s = x AND k.t = y LEFT JOIN ratios l ON l.s = c AND l.t = x LEFT JOIN ratios m ON m.s = c AND m.t = y""",
+    "p",
+).replace("\nSELECT", f", ratios AS ({_lcs_sql(f'SELECT x AS s, y AS t FROM {_SIDES} UNION ALL SELECT c, x FROM {_SIDES} UNION ALL SELECT c, y FROM {_SIDES}')} SELECT * FROM lcs)\nSELECT", 1)
 
 
 def _name_texts(d, pairs):
@@ -299,6 +323,14 @@ def threshold_sweep(d):
     return _r6(metrics.threshold_sweep(d.scored, d.truth))
 
 
+@_query(_SWEEP, "sw")
+def threshold_sweep_fine(d):
+    return _r6(metrics.threshold_sweep(d.scored, d.truth, metrics.FINE))
+
+
+ORACLE_SQL["threshold_sweep_fine"] = ORACLE_SQL["threshold_sweep"].replace("range(10, 91, 5)", "range(5, 96)")
+
+
 @_query(_SWEEP + " ORDER BY round(m, 9) DESC, threshold DESC LIMIT 1", "sw")
 def best_threshold(d):
     return _r6(metrics.best_threshold(metrics.threshold_sweep(d.scored, d.truth)))
@@ -350,11 +382,32 @@ def error_rates(d):
     return _r6(errors.error_rates(_cases(d)))
 
 
-@_query()
 def error_categories(d):
     return errors.category_counts(_cases(d))
 
 
+QUERIES["error_categories"] = lambda spark, sf_dir: error_categories(_Data(spark, sf_dir))
+_PIN = "regexp_extract_all({}, '(?:^|[^\\p{{L}}\\p{{N}}_])([0-9]{{5,6}})\\b', 1)[-1]"
+CTE["wrong"] = f"""SELECT CASE WHEN score >= 0.5 THEN 'FP' ELSE 'FN' END AS error_type, trim(a.business_name) AS n1, trim(b.business_name) AS n2, trim(a.business_address) AS a1, trim(b.business_address) AS a2,
+    coalesce(a.country, '') AS c1, coalesce(b.country, '') AS c2 FROM lab JOIN r a ON a.entity_id = {S1} JOIN r b ON b.entity_id = {CAND} WHERE (score >= 0.5) <> (label = 1)"""
+_USES["wrong"] = ("lab", "r")
+_N1, _N2 = _SORTED.format("lower(n1)"), _SORTED.format("lower(n2)")
+CTE["judged"] = f"""SELECT w.*, n.ratio AS rn, a.ratio AS ra, o.ratio AS ro, {_TOKENS.format("lower(n1)")} AS u, {_TOKENS.format("lower(n2)")} AS v, {_PIN.format("a1")} AS p1, {_PIN.format("a2")} AS p2, lower(a1) AS x, lower(a2) AS y
+    FROM wrong w LEFT JOIN ratios n ON n.s = lower(n1) AND n.t = lower(n2) LEFT JOIN ratios a ON a.s = lower(a1) AND a.t = lower(a2) LEFT JOIN ratios o ON o.s = {_N1} AND o.t = {_N2}"""
+CTE["ratios"] = f"{_lcs_sql(f'SELECT lower(n1) AS s, lower(n2) AS t FROM wrong UNION ALL SELECT lower(a1), lower(a2) FROM wrong UNION ALL SELECT {_N1}, {_N2} FROM wrong')} SELECT * FROM lcs"
+_USES |= {"ratios": ("wrong",), "judged": ("wrong", "ratios")}
+ORACLE_SQL["error_categories"] = _sql(
+    """SELECT error_type, CASE WHEN error_type = 'FP' THEN
+         CASE WHEN c1 <> '' AND c2 <> '' AND lower(c1) <> lower(c2) THEN 'country_mismatch' WHEN rn > 80 THEN 'similar_name' WHEN a1 <> '' AND a2 <> '' AND ra > 90 THEN 'same_address'
+              WHEN n1 <> '' AND n2 <> '' AND (length(n1) < 5 OR length(n2) < 5) THEN 'common_or_short_name' ELSE 'other' END
+       ELSE CASE WHEN n1 = '' OR n2 = '' OR a1 = '' OR a2 = '' THEN 'missing_field' WHEN len(u) <> len(v) AND (list_has_all(u, v) OR list_has_all(v, u)) THEN 'abbreviation'
+              WHEN ro > 85 AND rn < 85 THEN 'spelling_variation' WHEN (p1 IS NULL) <> (p2 IS NULL) THEN 'missing_pin'
+              WHEN (contains(x, y) OR contains(y, x)) AND abs(length(x) - length(y)) > 5 THEN 'partial_address' WHEN rn > 70 THEN 'transliteration' ELSE 'other' END END AS category, count(*) AS n
+       FROM judged GROUP BY ALL""",
+    "judged",
+)
+
+
 def _ordered(d):
     return d.s1.select(F.split("entity_id", "-")[1].cast("long").alias("pos"), F.col("entity_id").alias(S1))
 
@@ -368,10 +421,39 @@ def submission_rows(d):
     return submission.list_rows(_ordered(d), _matched(d), "matched_entity_ids")
 
 
-@_query("SELECT unnest(['matched_row_count', 'matched_unique_ids', 'matched_no_repeats', 'matched_prefix', 'matched_known_ids', 'candidate_row_count', 'candidate_unique_ids', 'candidate_no_repeats', 'candidate_prefix', 'candidate_known_ids', 'matches_in_candidates']) AS check, 0::BIGINT AS violations")
+# Lists with planted faults: one id without its row, one with it twice, one with a repeat, a wrong prefix, an unknown id and a match that is no candidate.
+_PLANTED = {"missing": 0, "twice": 1, "faulty": 2}
+_FAULTS = "S2-x,S2-x,X-1"
+CTE["lists"] = f"""SELECT pos, u.{S1}, CASE WHEN pos = 2 THEN concat_ws(',', m, '{_FAULTS}') ELSE coalesce(m, '') END AS matched, coalesce(c, '') AS candidate, CASE pos WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END AS times
+    FROM (SELECT {S1}, row_number() OVER (ORDER BY {S1}) - 1 AS pos FROM u) u LEFT JOIN (SELECT {S1}, string_agg({CAND}, ',' ORDER BY {CAND}) AS m FROM pred GROUP BY 1) USING ({S1})
+    LEFT JOIN (SELECT {S1}, string_agg({CAND}, ',' ORDER BY {CAND}) AS c FROM cand GROUP BY 1) USING ({S1})"""
+CTE["wide"] = f"SELECT 'matched' AS kind, {S1}, list_filter(string_split(matched, ','), lambda x: x <> '') AS ids FROM lists, range(times) UNION ALL SELECT 'candidate', {S1}, list_filter(string_split(candidate, ','), lambda x: x <> '') FROM lists, range(times)"
+CTE["long"] = f"SELECT kind, {S1}, unnest(ids) AS id FROM wide"
+_USES |= {"lists": ("u", "pred", "cand"), "wide": ("lists",), "long": ("wide",)}
+
+
+@_query(
+    f"""SELECT kind || '_row_count' AS check, abs(count(*) - (SELECT count(*) FROM u)) AS violations FROM wide GROUP BY kind
+        UNION ALL SELECT kind || '_unique_ids', count(*) FILTER (n > 1) FROM (SELECT kind, {S1}, count(*) AS n FROM wide GROUP BY ALL) GROUP BY kind
+        UNION ALL SELECT kind || '_no_repeats', count(*) FILTER (len(ids) > len(list_distinct(ids))) FROM wide GROUP BY kind
+        UNION ALL SELECT kind || '_prefix', count(*) FILTER (NOT regexp_matches(id, '^S[23]-')) FROM long GROUP BY kind
+        UNION ALL SELECT kind || '_known_ids', count(*) FILTER (id NOT IN (SELECT entity_id FROM r WHERE entity_id NOT LIKE 'S1%')) FROM long GROUP BY kind
+        UNION ALL SELECT 'matches_in_candidates', count(*) FROM (SELECT {S1}, id FROM long WHERE kind = 'matched' EXCEPT SELECT {S1}, id FROM long WHERE kind = 'candidate')""",
+    "long",
+    "r",
+)
 def validation_checks(d):
-    cand = d.cand.groupBy(S1).agg(F.array_sort(F.collect_set(CAND)).alias("ids"))
-    wide = [submission.list_rows(_ordered(d), x, n).drop("pos") for x, n in ((_matched(d), "matched_entity_ids"), (cand, "candidate_entity_ids"))]
+    cand = stored(d.cand)
+    listed = lambda pairs: pairs.groupBy(S1).agg(F.array_sort(F.collect_set(CAND)).alias("ids"))
+    scored = features.enriched(cand, d.s1, d.others).select(S1, CAND, sim.token_jaccard(F.col("a_addr_n"), F.col("b_addr_n")).alias("score"))
+    place = d.universe.orderBy(S1).limit(3).agg(F.array_sort(F.collect_list(S1)).alias("x")).first().x
+    wide = []
+    for pairs, name in ((scored.filter("score >= 0.5"), "matched_entity_ids"), (cand, "candidate_entity_ids")):
+        rows = submission.list_rows(_ordered(d), listed(pairs), name).drop("pos").filter(F.col(S1) != place[_PLANTED["missing"]])
+        if name == "matched_entity_ids":
+            faulty = F.concat_ws(",", F.when(F.col(name) != "", F.col(name)), F.lit(_FAULTS))
+            rows = rows.withColumn(name, F.when(F.col(S1) == place[_PLANTED["faulty"]], faulty).otherwise(F.col(name)))
+        wide.append(rows.unionByName(rows.filter(F.col(S1) == place[_PLANTED["twice"]])))
     return submission.check_rows(d.s1, d.others, *wide)
 
 
@@ -416,6 +498,20 @@ def match_histogram(d):
     return profiling.match_histogram(d.universe, d.truth)
 
 
+@_query(
+    f"""SELECT count(*) AS entities, count(*) FILTER (n = 0) AS singletons, round(count(*) FILTER (n = 0) / count(*)::DOUBLE, 6) AS singleton_share, sum(n)::BIGINT AS pairs, round(avg(n), 6) AS mean_matches,
+          round(quantile_cont(n, 0.5), 6) AS median_matches, max(n) AS max_matches FROM (SELECT u.{S1}, count({CAND}) AS n FROM u LEFT JOIN truth USING ({S1}) GROUP BY 1)""",
+    "u",
+    "truth",
+)
+def match_stats(d):
+    return _r6(profiling.match_stats(d.universe, d.truth))
+
+
+ORACLE_SQL["table_sizes"] = "SELECT 'documents' AS name, count(*) AS rows, 5::BIGINT AS columns FROM documents UNION ALL SELECT 'labels', count(*), 3 FROM labels"
+QUERIES["table_sizes"] = lambda spark, sf_dir: profiling.table_sizes(spark, {t: f"{sf_dir}/{t}.parquet" for t in ("documents", "labels")}).drop("bytes")
+
+
 @_query(f"SELECT left({CAND}, 2) AS src, count(*) AS pairs, count(DISTINCT {CAND}) AS matched_ids FROM truth GROUP BY 1", "truth")
 def matches_per_source(d):
     return profiling.matches_per_source(d.truth)

@@ -10,6 +10,7 @@ from samewise.functions.text import stripped
 RECORD = "entity_id string, business_name string, business_address string, country string"
 TRUTH = "source1_entity_id string, matched_entity_ids string"
 PAIR = "source1_entity_id string, candidate_entity_id string"
+PREDICTION = PAIR + ", label string, score string"
 #: Cells that a typed reader takes for missing.
 NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
@@ -26,6 +27,11 @@ def read_records(spark: SparkSession, path: str | list[str], typed: bool = False
     return read_tsv(spark, path, RECORD, NA_TOKENS if typed else ())
 
 
+def read_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """Candidate pairs from a file of two columns, by position."""
+    return read_tsv(spark, path, PAIR)
+
+
 def union_sources(*sources: DataFrame) -> DataFrame:
     out = sources[0]
     for s in sources[1:]:
@@ -34,12 +40,16 @@ def union_sources(*sources: DataFrame) -> DataFrame:
 
 
 def truth_lists(wide: DataFrame, keep: DataFrame | None = None) -> DataFrame:
-    """source1_entity_id, ids: trimmed, without blanks and repeats; only ids in ``keep`` if given."""
+    """source1_entity_id, ids: trimmed, without blanks and repeats; only ids in ``keep`` if given.
+
+    Of several rows for one id the last one in the order of the file counts.
+    """
     missing = {"source1_entity_id", "matched_entity_ids"} - set(wide.columns)
     if missing:
         raise ValueError(f"ground truth lacks {sorted(missing)}")
     ids = F.array_distinct(F.filter(F.transform(F.split(F.coalesce("matched_entity_ids", F.lit("")), ","), stripped), lambda x: (x != "") & (x != "nan")))
-    out = wide.select(stripped(F.col("source1_entity_id")).alias("source1_entity_id"), ids.alias("ids"))
+    rows = wide.select(stripped(F.col("source1_entity_id")).alias("source1_entity_id"), ids.alias("ids"), F.monotonically_increasing_id().alias("_pos"))
+    out = rows.groupBy("source1_entity_id").agg(F.max_by("ids", "_pos").alias("ids"))
     return out if keep is None else out.join(keep.select("source1_entity_id").distinct(), "source1_entity_id", "left_semi")
 
 
@@ -69,7 +79,8 @@ def write_tsv(df: DataFrame, path: str, single: bool = False) -> None:
 
 
 def append_log(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+    """Add rows to a CSV log, which is made with the first; every part has the header."""
+    df.coalesce(1).write.mode("append").option("header", True).csv(path)
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from samewise.plans import linkage
 from samewise.sources import tables
 
 S1, CAND = metrics.S1, metrics.CAND
+# Names and addresses with what they become.
 NAMES = [
     ("  << Orelee's Barbershop, Inc...  ", "orelee's barbershop inc"),
     ("Pvt. EFS Print Ventures Ltd.", "pvt efs print ventures ltd"),
@@ -22,7 +23,9 @@ NAMES = [
     ("Fractales Amis Groupe S.A.S. - Nouvelle-Aquitaine", "fractales amis groupe s a s nouvelle aquitaine"),
     ("L'Étoile du Nord SARL", "l'étoile du nord sarl"),
     ("राम--मार्केटिंग   (प्राइवेट)  लिमिटेड", "राम मार्केटिंग प्राइवेट लिमिटेड"),
+    ("  ಪ್ರೈವೇಟ್ ಲಿಮಿಟೆಡ್   ಬೆಂಗಳೂರು  ", "ಪ್ರೈವೇಟ್ ಲಿಮಿಟೆಡ್ ಬೆಂಗಳೂರು"),
     ("తెలుగు ఎంటర్‌ప్రైజెస్ (ఇండియా)", "తెలుగు ఎంటర్ప్రైజెస్ ఇండియా"),
+    ("", ""),
     ("ＡＢＣ　Ｌｔｄ", "abc ltd"),
     (None, ""),
     ("   ", ""),
@@ -33,8 +36,10 @@ ADDRESSES = [
     ("17560 Ellis Road, Tahlequah, OK", "17560 ellis road, tahlequah, ok", None),
     ("1 Ivanhoe Ave, PO Box 6009, Cincinnati, Ohio 45206-1234", "1 ivanhoe ave, po box 6009, cincinnati, ohio 45206-1234", "45206"),
     ("63 R. DE DIEPPE, 59000 LILLE, Hauts-de-France", "63 r de dieppe, 59000 lille, hauts-de-france", "59000"),
+    ("175 Boulevard du Président Franklin Roosevelt, Bordeaux, Nouvelle-Aquitaine", "175 boulevard du président franklin roosevelt, bordeaux, nouvelle-aquitaine", None),
     ("5 bis Rue Pierre Dignac, 33260 La Teste-de-Buch", "5 bis rue pierre dignac, 33260 la teste-de-buch", "33260"),
     ("केएच नं. -570/13, नई दिल्ली, पश्चिम दिल्ली, दिल्ली - 110041", "केएच नं 570/13, नई दिल्ली, पश्चिम दिल्ली, दिल्ली 110041", "110041"),
+    ("ಡೋರ್ ನಂ. 183, 41ನೇ ಕ್ರಾಸ್, ಬೆಂಗಳೂರು 560082, ಕರ್ನಾಟಕ", "ಡೋರ್ ನಂ 183, 41ನೇ ಕ್ರಾಸ್, ಬೆಂಗಳೂರು 560082, ಕರ್ನಾಟಕ", "560082"),
     ("సర్వే నం. 83/1, రాయదుర్గం, హైదరాబాద్, తెలంగాణ", "సర్వే నం 83/1, రాయదుర్గం, హైదరాబాద్, తెలంగాణ", None),
     ("Prestige Falcon City, Kanakapura Main Road, Flat No. 51262, Bangalore", "prestige falcon city, kanakapura main road, flat no 51262, bangalore", None),
     (None, "", None),
@@ -52,6 +57,19 @@ def test_addresses_and_codes(spark):
     assert [tuple(r) for r in got] == [(b, c) for _, b, c in ADDRESSES]
 
 
+def test_composition_of_rows_that_need_it(spark):
+    cells = ["ＡＢＣ　Ｌｔｄ", "Café", "Cafe\u0301", "plain", "ﬁ x", None, "½", "Ångström É"]
+    frame = spark.createDataFrame([(i, a) for i, a in enumerate(cells)], "i int, a string")
+    got = tx.by_form(frame, ["a"], lambda rows, may: rows.select("i", tx.normalize_name(F.col("a"), may).alias("n"))).orderBy("i").collect()
+    whole = frame.select("i", tx.normalize_name(F.col("a")).alias("n")).orderBy("i").collect()
+    assert got == whole and [r.n for r in got] == ["abc ltd", "café", "café", "plain", "fi x", "", "1 2", "ångström é"]
+
+
+def test_missing_cells(spark):
+    cells = spark.createDataFrame([("\t",), (" x\u00a0",), (None,)], "a string").select(tx.safe_string(F.col("a"))).collect()
+    assert [r[0] for r in cells] == ["", "x", ""]
+
+
 def test_address_key_needs_no_normalized_address(spark):
     df = spark.createDataFrame([(a,) for a, *_ in ADDRESSES], "a string")
     x = df.select(tx.address_key(F.col("a")).alias("x"), F.regexp_replace(F.lower(tx.normalize_address(F.col("a"))), "[^a-z0-9]+", "").alias("y")).collect()
@@ -201,7 +219,12 @@ def test_pipeline_files(spark, tmp_path):
     part = next((tmp_path / "matching").glob("part-*"))
     assert part.read_text() == f"{S1}\tmatched_entity_ids\nS1-0001\tS2-0010\nS1-0002\tS2-0020\nS1-0003\tS3-0030\nS1-0004\t\nS1-0005\t\n"
     checks = {r.check: r.violations for r in submission.check_files(spark, ones, others, f"{tmp_path}/matching", f"{tmp_path}/candidates").collect()}
-    assert len(checks) == 13 and not any(checks.values())
+    assert len(checks) == 15 and not any(checks.values())
+    with open(part, "a") as f:
+        f.write("S1-0006\tS2-0010\tmore\n")
+    (tmp_path / "matching" / f".{part.name}.crc").unlink()
+    checks = {r.check: r.violations for r in submission.check_files(spark, ones, others, f"{tmp_path}/matching", f"{tmp_path}/none").collect()}
+    assert checks == {"matched_entity_ids_header": 0, "matched_entity_ids_columns": 1, "candidate_entity_ids_exists": 1}
     lists = spark.createDataFrame([("S1-0001", "S2-0010,S2-0010,X-1"), ("S1-0001", "")], f"{S1} string, matched_entity_ids string")
     bad = {r.check: r.violations for r in submission.check_rows(ones, others, lists, lists.withColumnRenamed("matched_entity_ids", "candidate_entity_ids").limit(0)).collect()}
     assert bad["matched_no_repeats"] == 1 and bad["matched_prefix"] == 1 and bad["matched_unique_ids"] == 1 and bad["matched_row_count"] == 3 and bad["matches_in_candidates"] == 2
@@ -224,7 +247,84 @@ def test_training(spark, tmp_path):
         training.check_matrix(x.withColumn("f", F.lit(float("nan"))), ["f"])
     with pytest.raises(ValueError, match="duplicate"):
         training.check_pairs(x.unionByName(x))
-    tables.append_log(training.experiment_record(spark, "logistic", x, {"f0_5": 0.9}), f"{tmp_path}/log")
+    for k in (1, 2):
+        tables.append_log(training.experiment_record(spark, {"model": "logistic", "seed": k, "f0_5": 0.9}), f"{tmp_path}/log")
+    assert sorted(map(tuple, spark.read.option("header", True).csv(f"{tmp_path}/log").collect())) == [("logistic", "1", "0.9"), ("logistic", "2", "0.9")]
+    with pytest.raises(ValueError, match="empty train"):
+        training.check_split(split.filter("split = 'train'"))
+    with pytest.raises(ValueError, match="both parts"):
+        training.check_split(split.unionByName(split.withColumn("split", F.lit("train"))))
+    with pytest.raises(ValueError, match="columns differ"):
+        training.check_columns(x.drop("label"), ["g", "f"])
+
+
+def test_train_save_load_and_infer(spark, tmp_path, capsys):
+    """The command line from files to checked list files; models are loaded from their folders."""
+    from samewise import __main__ as cli
+
+    rng, rows, truth = random.Random(2), {1: [], 2: [], 3: []}, []
+    for i in range(60):
+        name, street = f"firm {rng.choice('abcdef')}{i}", f"{i} {rng.choice(['oak', 'elm'])} road"
+        rows[1].append((f"S1-{i}", name, street, "US"))
+        rows[2].append((f"S2-{i}", name, street if i % 2 else f"{i} other lane", "US"))
+        rows[3].append((f"S3-{i}", f"{name} shop", street, rng.choice(["US", "FR"])))
+        rows[2].append((f"S2-x{i}", name, f"{rng.randrange(10**6)} far way", "IN"))
+        truth.append((f"S1-{i}", f"S2-{i},S3-{i}"))
+    path = {n: f"{tmp_path}/s{n}.tsv" for n in rows} | {"truth": f"{tmp_path}/truth.tsv"}
+    for n, x in rows.items():
+        with open(path[n], "w") as f:
+            f.write("\n".join("\t".join(r) for r in [("entity_id", "business_name", "business_address", "country"), *x]) + "\n")
+    with open(path["truth"], "w") as f:
+        f.write("\n".join("\t".join(r) for r in [("source1_entity_id", "matched_entity_ids"), *truth]) + "\n")
+    sources = [x for n in rows for x in (f"--source{n}", path[n])]
+    models = f"{tmp_path}/models"
+    cli.main(["block", *sources, "--out", f"{tmp_path}/pairs"])
+    assert capsys.readouterr().out.strip() == "180 pairs"
+    from samewise.plans import runs
+
+    fit = runs.train
+    runs.train = lambda *a: fit(*a, trees=5)
+    try:
+        cli.main(["train", *sources, "--pairs", f"{tmp_path}/pairs", "--truth", path["truth"], "--out", models, "--log", f"{tmp_path}/log"])
+    finally:
+        runs.train = fit
+    log = spark.read.option("header", True).csv(f"{tmp_path}/log")
+    assert log.count() == 2 and len(log.columns) == 12 and {r.train_entities for r in log.collect()} == {"48"}
+    predictions = f"{models}/val_predictions_logistic_regression"
+    cli.main(["evaluate", "--predictions", predictions, "--truth", path["truth"], "--csv", f"{tmp_path}/sweep", "--json", f"{models}/threshold.json", "--fine"])
+    from samewise.plans import artifacts
+
+    saved = artifacts.load_json(spark, f"{models}/threshold.json")
+    assert list(saved) == ["threshold", "metric", "selection", "best_macro_f0_5"] and saved["best_macro_f0_5"] > 0.9
+    assert spark.read.option("header", True).csv(f"{tmp_path}/sweep").count() == 91
+    cli.main(["errors", *sources, "--predictions", predictions, "--threshold", "0.5", "--tsv", f"{tmp_path}/wrong", "--txt", f"{tmp_path}/report"])
+    assert "Categories of false negatives:" in "\n".join(r.value for r in spark.read.text(f"{tmp_path}/report").collect())
+    capsys.readouterr()
+    cli.main(["infer", *sources, "--models", models, "--out", f"{tmp_path}/out"])
+    checks = dict(line.rsplit(" ", 1) for line in capsys.readouterr().out.strip().splitlines())
+    assert len(checks) == 15 and set(checks.values()) == {"0"}
+    with pytest.raises(FileNotFoundError):
+        cli.main(["infer", *sources, "--models", f"{tmp_path}/none", "--out", f"{tmp_path}/out"])
+
+
+def test_fit_transform_and_guards(spark):
+    ones, others = frames(spark)
+    pairs = spark.createDataFrame([("S1-1", "S2-1"), ("S1-2", "S3-1")], tables.PAIR)
+    x, vocabularies = features.fit_transform(pairs, ones, others)
+    again = features.pair_features(pairs, ones, others, vocabularies)
+    assert sorted(x.collect()) == sorted(again.collect())
+    training.check_columns(x, features.FEATURES)
+    with pytest.raises(ValueError, match="no pairs"):
+        training.check_pair_ids(pairs.limit(0))
+
+
+def test_truth_keeps_the_last_row_and_invalid_bytes_are_replaced(spark, tmp_path):
+    wide = spark.createDataFrame([("S1-1", "S2-1"), ("S1-2", "S2-2"), ("S1-1", "S2-3\t")], tables.TRUTH).coalesce(1)
+    assert sorted(tuple(r) for r in tables.truth_lists(wide).collect()) == [("S1-1", ["S2-3"]), ("S1-2", ["S2-2"])]
+    (tmp_path / "bad.tsv").write_bytes(b"entity_id\tbusiness_name\tbusiness_address\tcountry\nS1-1\ta\xff\tb\tUS\n")
+    assert tables.read_records(spark, f"{tmp_path}/bad.tsv").first().business_name == "a\ufffd"
+    both = tables.union_sources(*frames(spark))
+    assert both.count() == 4
 
 
 def test_stream(spark, tmp_path):
