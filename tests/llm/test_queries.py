@@ -107,6 +107,19 @@ def test_empty_table(spark, empty, name):
     assert registry.QUERIES[name](spark, empty).collect() == []
 
 
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
+def test_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    found = con.execute(registry.ORACLE_SQL[name])
+    columns = [d[0] for d in found.description]
+    rows = [r.asDict() for r in registry.QUERIES[name](spark, SF).collect()]
+    assert sorted(columns) == sorted(rows[0])
+    assert bag(rows, *columns) == Counter(found.fetchall())
+
+
 def test_op1(result, docs):
     from tokenizers import Tokenizer
 
