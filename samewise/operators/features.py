@@ -76,27 +76,35 @@ def _used(records: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
     return prepared(records.join(pairs.select(F.col(key).alias("entity_id")).distinct(), "entity_id", "left_semi"))
 
 
-def _texts(used: DataFrame, field: str) -> DataFrame:
-    return used.select("id", F.col(f"{field}_n").alias("text"))
+def _counts(texts: DataFrame) -> DataFrame:
+    """field, id, term, tf of both fields of prepared records."""
+    both = [tfidf.term_counts(texts.select("id", F.col(f"{f}_n").alias("text"))).withColumn("field", F.lit(f)) for f in FIELDS]
+    return both[0].unionByName(both[1])
+
+
+def _fit(texts: DataFrame, counts: DataFrame, size: int) -> dict[str, DataFrame]:
+    n = texts.count()
+    return {f: stored(tfidf.vocabulary_of(counts.filter(F.col("field") == f), n, size)) for f in FIELDS}
+
+
+def _prepared_for(source1: DataFrame, others: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored: the records that occur in pairs, with ``first`` for source 1, and their term counts."""
+    one, other = _used(source1, pairs, IDS[0]), _used(others, pairs, IDS[1])
+    texts = stored(one.withColumn("first", F.lit(True)).unionByName(other.withColumn("first", F.lit(False))))
+    return texts, stored(_counts(texts))
 
 
 def fit_vocabularies(source1: DataFrame, others: DataFrame, pairs: DataFrame, size: int = 10_000) -> dict[str, DataFrame]:
     """Vocabularies by field over the source-1 records and candidates that occur in pairs, stored."""
-    both = stored(_used(source1, pairs, IDS[0]).unionByName(_used(others, pairs, IDS[1])))
-    return {f: stored(tfidf.vocabulary(_texts(both, f), size)) for f in FIELDS}
+    return _fit(*_prepared_for(source1, others, pairs), size)
 
 
 def fit_transform(pairs: DataFrame, source1: DataFrame, others: DataFrame, size: int = 10_000) -> tuple[DataFrame, dict[str, DataFrame]]:
     """The pairs' features with vocabularies fitted on them, and the vocabularies."""
     pairs = stored(pairs.select(*IDS))
-    vocabularies = fit_vocabularies(source1, others, pairs, size)
-    return pair_features(pairs, source1, others, vocabularies), vocabularies
-
-
-def _with_vectors(used: DataFrame, vocabularies: dict[str, DataFrame]) -> DataFrame:
-    for f in FIELDS:
-        used = used.join(tfidf.vectors(_texts(used, f), vocabularies[f]).toDF("id", f"{f}_t", f"{f}_w"), "id", "left")
-    return used
+    texts, counts = _prepared_for(source1, others, pairs)
+    vocabularies = _fit(texts, counts, size)
+    return _features(pairs, texts, counts, vocabularies), vocabularies
 
 
 #: Similarities without a built-in, of names and (x_) of addresses.
@@ -126,10 +134,19 @@ def pair_features(pairs: DataFrame, source1: DataFrame, others: DataFrame, vocab
     """
     if vocabularies is None:
         raise ValueError("fit the vocabularies first")
-    e = pairs.select(*IDS)
-    for side, key, records in (("a", IDS[0], source1), ("b", IDS[1], others)):
-        texts = _with_vectors(stored(_used(records, pairs, key)), vocabularies)
-        e = e.join(texts.select(F.col("id").alias(key), *(F.col(c).alias(f"{side}_{c}") for c in texts.columns if c != "id")), key, "left")
+    return _features(pairs, *_prepared_for(source1, others, pairs), vocabularies)
+
+
+def _features(pairs: DataFrame, texts: DataFrame, counts: DataFrame, vocabularies: dict[str, DataFrame]) -> DataFrame:
+    rows = texts
+    for f in FIELDS:
+        rows = rows.join(tfidf.vectors_of(counts.filter(F.col("field") == f), vocabularies[f]).toDF("id", f"{f}_t", f"{f}_w"), "id", "left")
+    rows = stored(rows)
+    # Comparing is the work here, so small inputs are dealt out too; both ids, as one id may have many pairs.
+    e = pairs.select(*IDS).repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *IDS)
+    for side, key in (("a", IDS[0]), ("b", IDS[1])):
+        own = rows.filter(F.col("first") == (side == "a"))
+        e = e.join(own.select(F.col("id").alias(key), *(F.col(c).alias(f"{side}_{c}") for c in own.columns if c not in ("id", "first"))), key, "left")
     e = e.select(*IDS, *(c if c.endswith(("_t", "_w")) else F.coalesce(c, F.lit("")).alias(c) for c in e.columns if c not in IDS))
     e = e.withColumn("k", F.pandas_udf(_kernels, ", ".join(f"{k} double" for k in KERNELS))("a_name_n", "b_name_n", "a_name_t", "a_name_w", "b_name_t", "b_name_w", "a_addr_n", "b_addr_n", "a_addr_t", "a_addr_w", "b_addr_t", "b_addr_w"))
     c = F.col
