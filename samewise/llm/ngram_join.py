@@ -474,6 +474,15 @@ def _joined(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
     return sketched, member, links, found
 
 
+def links_between_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """(a, b): the links found, between representatives of equal sets; and (doc_id, id): the representative of each document.
+
+    The links join every component; pairs within one that is already joined are not all compared.
+    """
+    _, member, links, _ = _joined(docs, size, percent)
+    return links, member
+
+
 def similar_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
     sketched, member, _, found = _joined(docs, size, percent)
