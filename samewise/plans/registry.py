@@ -254,6 +254,7 @@ def _lcs_sql(pairs: str, extra: str = "") -> str:
       """
 
 
+_PIN = "regexp_extract_all({}, '(?:^|[^\\p{{L}}\\p{{N}}_])([0-9]{{5,6}})\\b', 1)[-1]"
 _SORTED = "array_to_string(list_sort(list_filter(string_split({}, ' '), lambda w: w <> '')), ' ')"
 _SETS = f"""(SELECT {S1}, {CAND}, list_sort(list_intersect(u, v)) AS shared, list_sort(list_filter(u, lambda w: NOT list_contains(v, w))) AS du, list_sort(list_filter(v, lambda w: NOT list_contains(u, w))) AS dv, len(u) AS nu, len(v) AS nv
     FROM (SELECT {S1}, {CAND}, {_TOKENS.format("a")} AS u, {_TOKENS.format("b")} AS v FROM p))"""
@@ -290,9 +291,50 @@ def tfidf_cosine(d):
     return _r6(tfidf.cosines(pairs, rows, rows))
 
 
-@_query()
 def pair_features(d):
-    return features.fit_transform(d.cand, d.s1, d.others)[0]
+    return _r6(features.fit_transform(d.cand, d.s1, d.others)[0])
+
+
+QUERIES["pair_features"] = lambda spark, sf_dir: pair_features(_Data(spark, sf_dir))
+for _cte in ("grams", "vocab", "wt"):
+    CTE[f"{_cte}_a"] = CTE[_cte].replace("string_split(nn", "string_split(an").replace("FROM grams", "FROM grams_a").replace("JOIN vocab", "JOIN vocab_a")
+_USES |= {"grams_a": ("f", "cand"), "vocab_a": ("grams_a",), "wt_a": ("grams_a", "vocab_a")}
+CTE["pf"] = f"""SELECT p.*, trim(r1.business_address) AS a1, trim(r2.business_address) AS a2, {_TOKENS.format("a")} AS u, {_TOKENS.format("b")} AS v, {_TOKENS.format("x")} AS w, {_TOKENS.format("y")} AS z,
+    {_SORTED.format("a")} AS sa, {_SORTED.format("b")} AS sb, {_SORTED.format("x")} AS sx, {_SORTED.format("y")} AS sy FROM p JOIN r r1 ON r1.entity_id = {S1} JOIN r r2 ON r2.entity_id = {CAND}"""
+_JOINED = "array_to_string(list_sort({}), ' ')"
+
+
+def _sides(u: str, v: str) -> tuple[str, str, str]:
+    """The words of both sides, and each side's: the former, then its own."""
+    both = _JOINED.format(f"list_intersect({u}, {v})")
+    own = lambda x, y: f"trim({both} || ' ' || {_JOINED.format(f'list_filter({x}, lambda k: NOT list_contains({y}, k))')})"
+    return both, own(u, v), own(v, u)
+
+
+CTE["pf2"] = "SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in zip(("nc", "nx", "ny", "ac", "ax", "ay"), (*_sides("u", "v"), *_sides("w", "z")), strict=True)) + " FROM pf"
+_PAIRS = (("a", "b"), ("sa", "sb"), ("nx", "ny"), ("nc", "nx"), ("nc", "ny"), ("x", "y"), ("sx", "sy"), ("ax", "ay"), ("ac", "ax"), ("ac", "ay"))
+CTE["pratios"] = f"{_lcs_sql(' UNION ALL '.join(f'SELECT {i} AS s, {j} AS t FROM pf2' for i, j in _PAIRS))} SELECT * FROM lcs"
+_USES |= {"pf": ("p", "r"), "pf2": ("pf",), "pratios": ("pf2",)}
+
+
+def _pair_features_sql() -> str:
+    lev = lambda i, j: f"1 - levenshtein({i}, {j}) / greatest(length({i}), length({j}), 1)::DOUBLE"
+    ratio = lambda k: f"k{k}.ratio / 100"
+    both = lambda k, c, i, j: f"CASE WHEN {c} <> '' AND ({c} = {i} OR {c} = {j}) THEN 1.0 WHEN {c} <> '' THEN greatest(k{k}.ratio, k{k + 1}.ratio, k{k + 2}.ratio) / 100 ELSE k{k}.ratio / 100 END"
+    jaccard = lambda i, j: f"len(list_intersect({i}, {j})) / greatest(len(list_distinct(list_concat({i}, {j}))), 1)::DOUBLE"
+    diff = lambda i, j: f"abs(length({i}) - length({j}))"
+    pins = [_PIN.format(c) for c in ("a1", "a2")]
+    name = [lev("a", "b"), ratio(0), "jaro_winkler_similarity(a, b)", ratio(0), both(2, "nc", "nx", "ny"), ratio(1), jaccard("u", "v"), "coalesce(cn, 0.0)", "a = b", "ca = cb AND ca <> ''", diff("trim(ra)", "trim(rb)"), diff("a", "b")]
+    addr = [lev("x", "y"), ratio(5), both(7, "ac", "ax", "ay"), ratio(6), jaccard("w", "z"), "coalesce(ce, 0.0)", "x = y", f"coalesce({pins[0]} = {pins[1]}, false)", f"{pins[0]} IS NULL OR {pins[1]} IS NULL", diff("a1", "a2"), diff("x", "y")]
+    d1, d2 = "coalesce(c1, '')", "coalesce(c2, '')"
+    rest = [f"lower({d1}) = lower({d2}) AND {d1} <> ''", f"{d1} = ''", f"{d2} = ''", "trim(ra) = ''", "trim(rb) = ''", "a1 = ''", "a2 = ''", f"CASE WHEN {CAND} LIKE '%S2%' THEN 1 ELSE 2 END"]
+    values = [f"CASE WHEN a <> '' AND b <> '' THEN ({v})::DOUBLE ELSE 0.0 END" for v in name] + [f"CASE WHEN x <> '' AND y <> '' THEN ({v})::DOUBLE ELSE 0.0 END" for v in addr] + [f"({v})::INT::DOUBLE" for v in rest]
+    cosine = lambda wt, n: f"LEFT JOIN (SELECT {S1}, {CAND}, sum(i.w * j.w) AS {n} FROM cand JOIN {wt} i ON i.id = {S1} JOIN {wt} j ON j.id = {CAND} AND i.term = j.term GROUP BY 1, 2) USING ({S1}, {CAND})"
+    joins = " ".join(f"LEFT JOIN pratios k{k} ON k{k}.s = {i} AND k{k}.t = {j}" for k, (i, j) in enumerate(_PAIRS))
+    return f"SELECT {S1}, {CAND}, {', '.join(f'round({v}, 6) AS {f}' for v, f in zip(values, features.FEATURES, strict=True))} FROM pf2 {cosine('wt', 'cn')} {cosine('wt_a', 'ce')} {joins}"
+
+
+ORACLE_SQL["pair_features"] = _sql(_pair_features_sql(), "pratios", "wt", "wt_a")
 
 
 @_query(f"SELECT {S1}, tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f0_5, 6) AS f0_5 FROM e", "e")
@@ -387,7 +429,6 @@ def error_categories(d):
 
 
 QUERIES["error_categories"] = lambda spark, sf_dir: error_categories(_Data(spark, sf_dir))
-_PIN = "regexp_extract_all({}, '(?:^|[^\\p{{L}}\\p{{N}}_])([0-9]{{5,6}})\\b', 1)[-1]"
 CTE["wrong"] = f"""SELECT CASE WHEN score >= 0.5 THEN 'FP' ELSE 'FN' END AS error_type, trim(a.business_name) AS n1, trim(b.business_name) AS n2, trim(a.business_address) AS a1, trim(b.business_address) AS a2,
     coalesce(a.country, '') AS c1, coalesce(b.country, '') AS c2 FROM lab JOIN r a ON a.entity_id = {S1} JOIN r b ON b.entity_id = {CAND} WHERE (score >= 0.5) <> (label = 1)"""
 _USES["wrong"] = ("lab", "r")
