@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from samewise.llm.common import id_remainder, saved
 
 FIT_ROWS, FIT_PAIRS = 20_000, 100_000
+#: Ranges of a round of the search for the cut.
+BUCKETS = 4096
 FEATURES = ("word_length", "log_words", "upper", "symbols", "marks", "digits", "other", "top_word", "adjacent_repeats", "distinct_words", "bars", "repeated_lines", "log_line_words", "marked_words", "long_words")
 _SYMBOLS, _MARKS, _PLAIN = (str.maketrans("", "", s) for s in ("#*$%&<>", "!?", " \n,."))
 _UPPER, _DIGIT = re.compile(r"[A-ZÀ-ÖØ-Þ]"), re.compile(r"[0-9]")
@@ -119,19 +121,21 @@ def with_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def middle_of_ranks(raw: DataFrame, i: int, n: int) -> float:
     """Midway between the values of rank i - 1 and i, from 0, of the n in column ``raw``; 0 < i < n.
 
-    Approximate quantiles bound the two ranks, and only the values between the bounds are ranked exactly.
+    Each round counts the values in ``BUCKETS`` equal ranges and goes on in the one that holds rank i, so the
+    driver never sees more than the buckets, whatever the rows and ties; the ranks are exact.
     """
-    for slack in (0.001, 1.0):
-        low, high = raw.agg(F.percentile_approx("raw", [max(0.0, (i - 1) / n - slack), min(1.0, (i + 1) / n + slack)], 10_000)).first()[0]
-        rank = raw.filter(F.col("raw") < low).count()
-        near = raw.filter(F.col("raw").between(low, high)).groupBy("raw").count().orderBy("raw").collect()
-        if rank <= i - 1 and rank + sum(r["count"] for r in near) > i:
-            break
-    ends = []
-    for r in near:
-        ends += [r.raw for k in (i - 1, i) if rank <= k < rank + r["count"]]
-        rank += r["count"]
-    return sum(ends) / 2
+    low, high = raw.agg(F.min("raw"), F.max("raw")).first()
+    below = 0
+    while low < high:
+        bucket = F.least(F.floor((F.col("raw") - F.lit(low)) / F.lit(high - low) * BUCKETS), F.lit(BUCKETS - 1))
+        within = raw.filter(F.col("raw").between(low, high)).groupBy(bucket.alias("bucket"))
+        for r in within.agg(F.count("*").alias("rows"), F.min("raw").alias("low"), F.max("raw").alias("high")).orderBy("bucket").collect():
+            if below + r.rows > i:
+                low, high = r.low, r.high
+                break
+            below += r.rows
+    before = low if below < i else raw.filter(F.col("raw") < low).agg(F.max("raw")).first()[0]
+    return (before + low) / 2
 
 
 def fit_weights(docs: DataFrame, marks: DataFrame, rows: int = FIT_ROWS) -> PairwiseModel:
