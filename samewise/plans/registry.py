@@ -150,7 +150,22 @@ def normalize_address(d):
     return tx.by_form(d.r, ["business_address"], lambda rows, may: rows.select("entity_id", tx.normalize_address(F.col("business_address"), may).alias("addr")))
 
 
-@_query()
+_NUMBER = " ?(no\\.?|#)? ?[:\\-]? ?$"
+CTE["ptext"] = "SELECT entity_id, trim(regexp_replace(business_address, '[\\s\\x0b\\x1c-\\x1f\\x85\\p{Z}]+', ' ', 'g')) AS t FROM r"
+CTE["pnum"] = """SELECT entity_id, t, i, substr(t, 1, i - 1) AS before, substr(t, i) AS rest FROM (SELECT *, unnest(range(1, length(t) + 1)) AS i FROM ptext)
+    WHERE regexp_matches(substr(t, i), '^[0-9]{5}') AND NOT regexp_matches(substr(t, 1, i - 1), '[\\p{L}\\p{M}\\p{N}_]$')"""
+_USES |= {"ptext": ("r",), "pnum": ("ptext",)}
+_END = "([^\\p{L}\\p{M}\\p{N}_]|$)"
+
+
+@_query(
+    f"""SELECT entity_id, coalesce(nullif(regexp_extract(t, '(?i)(^|[^\\p{{L}}\\p{{M}}\\p{{N}}_])({tx.CODE_WORDS}) ?[:\\-#]? ?([0-9]{{5,6}}){_END}', 3), ''), six, five) AS code FROM ptext
+        LEFT JOIN (SELECT entity_id, max_by(left(rest, 6), i) AS six FROM pnum WHERE regexp_matches(rest, '^[1-9][0-9]{{5}}{_END}') AND NOT regexp_matches(before, '(?i)\\b({tx.NOT_SIX}){_NUMBER}')
+            AND NOT (i = 1 AND regexp_matches(substr(rest, 7), '(?i)^ ?(\\d+ )?({tx.ROADS})\\b')) GROUP BY 1) USING (entity_id)
+        LEFT JOIN (SELECT entity_id, max_by(left(rest, 5), i) AS five FROM pnum WHERE i > 1 AND regexp_matches(rest, '^[0-9]{{5}}{_END}') AND NOT regexp_matches(before, '(?i)\\b({tx.NOT_FIVE}){_NUMBER}')
+            AND NOT regexp_matches(substr(rest, CASE WHEN regexp_matches(rest, '^[0-9]{{5}}-[0-9]{{4}}{_END}') THEN 11 ELSE 6 END), '(?i)^ ?[a-z0-9\\-]+ ({tx.STREETS})\\b') GROUP BY 1) USING (entity_id)""",
+    "pnum",
+)
 def postal_code(d):
     return d.r.select("entity_id", tx.postal_code(F.col("business_address")).alias("code"))
 
