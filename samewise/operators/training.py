@@ -48,17 +48,22 @@ def check_pairs(labelled: DataFrame) -> None:
 
 
 def grouped_split(pairs: DataFrame, share: float = 0.8, seed: int = 42) -> DataFrame:
-    """Pairs with ``split``: the first floor(share * groups) source ids by md5(seed:id) are train.
+    """Pairs with ``split``, as ``split_ids`` has it for their source ids."""
+    return pairs.join(split_ids(pairs.select(S1).distinct(), share, seed), S1)
+
+
+def split_ids(ids: DataFrame, share: float = 0.8, seed: int = 42) -> DataFrame:
+    """Distinct source ids with ``split``: the first floor(share * groups) of them by md5(seed:id) are train.
 
     Ranks come from a range-partitioned count, not from one task holding all groups.
     """
-    groups = pairs.select(S1).distinct().withColumn("h", F.md5(F.concat(F.lit(f"{seed}:"), S1).cast("binary")))
+    groups = ids.select(S1).withColumn("h", F.md5(F.concat(F.lit(f"{seed}:"), S1).cast("binary")))
     bucket = F.conv(F.substring("h", 1, 3), 16, 10).cast("int")
     buckets = groups.groupBy(bucket.alias("bucket")).count()
     before = buckets.select("bucket", F.expr("sum(count) over (order by bucket) - count").alias("before"), F.expr("sum(count) over ()").alias("n"))
     ranked = groups.withColumn("bucket", bucket).withColumn("k", F.expr("row_number() over (partition by bucket order by h, source1_entity_id)")).join(before, "bucket")
     train = F.col("before") + F.col("k") <= F.floor(F.lit(share) * F.col("n"))
-    return pairs.join(ranked.select(S1, F.when(train, "train").otherwise("validation").alias("split")), S1)
+    return ranked.select(S1, F.when(train, "train").otherwise("validation").alias("split"))
 
 
 def dev_sample(source1: DataFrame, others: DataFrame, truth: DataFrame, n: int = 20) -> DataFrame:
