@@ -80,6 +80,18 @@ def saved(df: DataFrame, what: str, scratch: list[str] | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows in what is run (not only planned) within."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def remove(spark: SparkSession, paths: list[str]) -> None:
     """Delete folders that ``shared_folder`` named, and empty the list."""
     for path in paths:

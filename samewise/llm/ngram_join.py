@@ -35,11 +35,13 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samewise.llm.common import id_and_text, remove, saved
+from samewise.llm.common import arrow_rows, id_and_text, remove, saved
 from samewise.llm.components import connected_components, merged_components
 
 #: Least bits of a folded sketch; most members of a block and bytes of its sketches.
 LEAST_BITS, BLOCK, BLOCK_BYTES = 512, 1024, 1 << 20
+#: Rows of an Arrow batch: of texts, and of block pairs, each of which may be some megabytes.
+TEXT_ROWS, BLOCK_ROWS = 2000, 16
 #: Share of a band's smallest sets that may have to join by empty segments; hash functions of a band at most; least load of a segment.
 RARE, SEEDS, LOAD = 1e-6, 8, 1.5
 #: Pairs that a block pair sends for two components, round by round.
@@ -437,6 +439,11 @@ def _near_pairs(pairs: DataFrame, info: DataFrame, bands: Bands) -> DataFrame:
 
 def _joined(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Saved tables: sketches of every row, members (doc_id, id of its class), links (a, b) found and components of classes."""
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        return _steps(docs, size, percent)
+
+
+def _steps(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     spark, bands, texts, scratch = docs.sparkSession, Bands(percent), id_and_text(docs), []
     sketched = saved(_sketched(texts, size), "sketches")
     some = sketched.filter("n > 0 and doc_id is not null")
@@ -459,7 +466,8 @@ def _joined(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
         open_groups = placed.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("grp")
         rest = saved(placed.join(open_groups, "grp", "left_semi"), "open", scratch)
         carried = rest.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("grp")), 1, CARRIED).alias("carried"))
-        nearest = saved(_pairs_of_blocks(rest.join(info.select("id", "n", "sketch").join(carried, "id"), "id"), bands, width), "pairs", scratch)
+        with arrow_rows(spark, BLOCK_ROWS):
+            nearest = saved(_pairs_of_blocks(rest.join(info.select("id", "n", "sketch").join(carried, "id"), "id"), bands, width), "pairs", scratch)
         more = saved(nearest.join(tested, ["a", "b"], "left_anti"), "pairs", scratch)
         if more.isEmpty():
             if nearest.isEmpty():  # no near pair of different components is left

@@ -838,3 +838,28 @@ def test_cached_encoding_of_letters_that_normalize_to_marks(name):
     coder = ChunkEncoder(P.path(name))
     for _ in range(2):
         assert coder.encode(texts) == [b"".join(i.to_bytes(4, "little") for i in coder.tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_batches_of_block_pairs_are_small(spark):
+    """Rows of block pairs may hold megabytes, so few go into one Arrow batch; the setting is as before afterwards."""
+    from samewise.llm import common, ngram_join
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, pairs_of_blocks = spark.conf.get(name), [], ngram_join.saved
+
+    def spy(df, what, *rest):
+        seen.append((what, int(spark.conf.get(name))))
+        return pairs_of_blocks(df, what, *rest)
+
+    ngram_join.saved = spy
+    try:
+        base = [f"w{i}" for i in range(60)]
+        docs = [(i, " ".join(base[:i] + ["x"] + base[i:])) for i in range(12)] + [(100, "other words here to see"), (101, None)]
+        got = {r.doc_id: r.component_id for r in ngram_join.similar_documents(spark.createDataFrame(docs, "doc_id long, text string"), 4, 70).collect()}
+    finally:
+        ngram_join.saved = pairs_of_blocks
+    assert {n for what, n in seen if what == "sketches"} == {ngram_join.TEXT_ROWS} and ngram_join.BLOCK_ROWS in {n for what, n in seen if what == "pairs"}
+    assert spark.conf.get(name) == before and got[100] == 100 and {got[i] for i in range(12)} == {0}
+    with common.arrow_rows(spark, 3):
+        sizes = spark.range(20, numPartitions=1).mapInArrow(lambda bs: (b.slice(0, 1).set_column(0, "id", __import__("pyarrow").array([b.num_rows])) for b in bs), "id long").collect()
+    assert max(r.id for r in sizes) <= 3
