@@ -28,6 +28,11 @@ def false_positive_category(n1: Column, n2: Column, a1: Column, a2: Column, c1:
     )
 
 
+def category_of_equal_names(n1: Column, n2: Column, c1: Column, c2: Column) -> Column:
+    """``false_positive_category`` where lower-cased countries differ or names do not, which needs no ratio; else null."""
+    return F.when((c1 != "") & (c2 != "") & (c1 != c2), "country_mismatch").when(n1 == n2, "similar_name")
+
+
 def false_negative_category(n1: Column, n2: Column, a1: Column, a2: Column, name: Column, ordered: Column) -> Column:
     """``name``, ``ordered``: ratios of the lower-cased names, as they are and with sorted words."""
     x, y = F.lower(n1), F.lower(n2)
@@ -75,7 +80,11 @@ def error_rates(cases: DataFrame) -> DataFrame:
 
 
 def category_counts(cases: DataFrame) -> DataFrame:
-    return cases.filter("error_type <> 'correct'").groupBy("error_type", "category").agg(F.count("*").alias("n")).orderBy("error_type", F.desc("n"), "category")
+    return ordered_counts(cases.filter("error_type <> 'correct'").groupBy("error_type", "category").agg(F.count("*").alias("n")))
+
+
+def ordered_counts(counts: DataFrame) -> DataFrame:
+    return counts.orderBy("error_type", F.desc("n"), "category")
 
 
 def report(cases: DataFrame, examples: int = 5) -> str:

@@ -110,3 +110,30 @@ def test_half_lists_of_large_and_small_blocks(spark, monkeypatch):
         monkeypatch.setattr(cells, "CELL", size)
         got = cells.half_lists(df.filter("entity_id < 40"), df.filter("entity_id >= 40").withColumn("entity_id", df.entity_id.cast("string")))
         assert {r.a_id: r.ids for r in got.collect()} == {k: v for k, v in want.items() if v}
+
+
+def test_error_categories_by_classes(spark, tmp_path, monkeypatch):
+    """Copies, names that differ in one block, other countries and lost fields: counts of classes against those of the pairs."""
+    import random
+
+    rng = random.Random(8)
+    heads = ["ab cd ef gh", "Ab cd, ef gh", "ab cd ef gi", "zz yy xx ww", "a b c d"]
+    tails = ["one two three four five six seven eight nine ten", "one two three four five six seven eight nine eleven", "One two three, four five six seven eight nine ten", "p q r s t u v w x 12345"]
+    ends = [" ".join(f"w{i}" for i in range(26)), " ".join(f"v{i}" for i in range(26)), ""]
+    docs = [(i, f"{rng.choice(heads)} {rng.choice(tails)} {rng.choice(ends)}", rng.choice(["en", "en", "EN", "fr", None])) for i in range(150)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in registry.QUERIES["error_categories"](spark, str(tmp_path)).collect()]
+    made = []
+    monkeypatch.setattr(registry._Data, "repeated", True)
+    monkeypatch.setattr(registry.errors, "error_cases", lambda *a, f=registry.errors.error_cases: made.append(1) or f(*a))
+    want = [tuple(r) for r in registry.QUERIES["error_categories"](spark, str(tmp_path)).collect()]
+    assert made == [1] and got == want and len({r[:2] for r in want}) > 3
+
+
+def test_error_categories_make_no_pairs_of_copies(spark, tmp_path, monkeypatch):
+    """Each record is one of three copies; the pairs that are compared are of classes."""
+    text = "alpha beta gamma delta one two three four five six seven eight nine ten {} " + " ".join(f"w{i}" for i in range(30))
+    spark.createDataFrame([(i, text.format(i % 2), "en") for i in range(90)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(registry.errors, "error_cases", None)
+    rows = registry.QUERIES["error_categories"](spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in rows] == [("FP", "similar_name", 900)]
