@@ -185,3 +185,17 @@ def test_bulk_similarities_are_the_plain_ones():
         if a and b:
             u, v = set(a.split()), set(b.split())
             assert np.allclose(got, (1 - _distance(a, b) / max(len(a), len(b)), sim.indel(a, b) / 100, sim.token_set(a, b) / 100, sim.token_sort(a, b) / 100, len(u & v) / len(u | v)), atol=1e-12)
+
+
+def test_scores_by_classes_are_those_of_the_pairs(spark, tmp_path, monkeypatch):
+    """The same labels, splits and scores as from all pairs, which are not compared."""
+    _made_up(spark, tmp_path, 240)
+    with monkeypatch.context() as m:
+        m.setattr(registry._Data, "repeated", True)
+        want = sorted(tuple(r) for r in registry.QUERIES["model_scores"](spark, str(tmp_path)).collect())
+    monkeypatch.setattr(registry.features, "fit_transform", None)
+    monkeypatch.setattr(registry.class_features, "MEMBERS", 2)
+    df = registry.QUERIES["model_scores"](spark, str(tmp_path))
+    got = sorted(tuple(r) for r in df.collect())
+    assert len(got) > 3000 and [x[:4] for x in got] == [x[:4] for x in want] and len({x[2:4] for x in got}) == 4
+    assert all(abs(x[4] - y[4]) < 1e-6 and (x[5] == y[5] or abs(x[4] - 0.5) < 1e-6) for x, y in zip(got, want, strict=True))
