@@ -201,6 +201,34 @@ def test_scores_by_classes_are_those_of_the_pairs(spark, tmp_path, monkeypatch):
     assert all(abs(x[4] - y[4]) < 1e-6 and (x[5] == y[5] or abs(x[4] - 0.5) < 1e-6) for x, y in zip(got, want, strict=True))
 
 
+def test_class_pairs_are_scored_before_they_are_expanded(spark, tmp_path):
+    """The log odds are taken of rows of class pairs; the features are not made for the pairs of records."""
+    _made_up(spark, tmp_path, 120)
+    df = registry.QUERIES["model_scores"](spark, str(tmp_path))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "odds_of(" in plan and "lists_of(" not in plan and "addr_norm_levenshtein" not in plan
+    assert plan.index("Generate explode") < plan.index("odds_of(")  # the plan's root comes first
+
+
+def test_true_pairs_by_source_and_packed_numbers():
+    import numpy as np
+    import pyarrow as pa
+
+    from samewise.operators import class_features
+
+    a = [[dict(truth=1, train=True), dict(truth=1, train=True), dict(truth=None, train=True)], [dict(truth=2, train=False)], [dict(truth=2, train=True)]]
+    b = [[dict(truth=1, source=1.0), dict(truth=2, source=2.0)], [dict(truth=None, source=1.0)], [dict(truth=2, source=2.0), dict(truth=2, source=2.0)]]
+    left = pa.table({"members": pa.array(a, pa.list_(pa.struct([("truth", pa.int64()), ("train", pa.bool_())])))})
+    right = pa.table({"members": pa.array(b, pa.list_(pa.struct([("truth", pa.int64()), ("source", pa.float64())])))})
+    of, fit = class_features._true_pairs(left, right)
+    i, j = (x.ravel() for x in np.meshgrid(range(3), range(3), indexing="ij"))
+    want = [[sum(x["train"] and y["source"] == s and (x["truth"] == y["truth"] and x["truth"] is not None) == true for x in a[p] for y in b[q]) for s in (1.0, 2.0) for true in (True, False)] for p, q in zip(i, j, strict=True)]
+    assert of(i, j).tolist() == want and fit.tolist() == [True, False, True]
+    column = pa.array([np.arange(k, dtype="f8").tobytes() for k in (2, 4, 0, 6)], pa.binary())
+    assert class_features.numbers_of(column.slice(1), "f8", 2).tolist() == [[0, 1], [2, 3], [0, 1], [2, 3], [4, 5]]
+    assert class_features.numbers_of(column[:0], "f8", 2).shape == (0, 2)
+
+
 def test_lengths_are_taken_once_a_record(spark):
     plan = registry.QUERIES["length_diffs"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "length(" not in plan.split("Join")[0] and "length(" in plan
